@@ -93,9 +93,9 @@ def title_case(text: Column) -> Column:
 def province_name(code: Column) -> Column:
     """ISO code to name; unknown text in title case; missing to 'Sin dato'."""
     key = F.upper(strip(F.coalesce(code, F.lit("SIN_DATO"))))
-    pairs = [F.lit(part) for pair in PROVINCES.items() for part in pair]
+    names = F.expr("map(" + ", ".join(f"'{c}', '{n}'" for c, n in PROVINCES.items()) + ")")
     return F.coalesce(
-        F.try_element_at(F.create_map(*pairs), key),
+        F.try_element_at(names, key),
         F.when(key == "SIN_DATO", F.lit(NO_PROVINCE)),
         title_case(key),
     )

@@ -9,13 +9,11 @@ from gondola.functions.text import plain_number, unit_clean
 
 
 def _lookup() -> Column:
-    entries = []
-    for alias, (base, factor) in unit_map().items():
-        entries += [
-            F.lit(alias),
-            F.struct(F.lit(base).alias("unidad"), F.lit(factor).alias("factor")),
-        ]
-    return F.create_map(*entries)
+    entries = ", ".join(
+        f"'{alias}', named_struct('unidad', '{base}', 'factor', {factor!r}D)"
+        for alias, (base, factor) in unit_map().items()
+    )
+    return F.expr(f"map({entries})")
 
 
 def unit_of(clean_text: Column) -> Column:
