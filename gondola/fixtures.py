@@ -76,9 +76,10 @@ def _part_text() -> Column:
     return F.concat(text, offer)
 
 
-def clean_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+def clean_prices(spark: SparkSession, sf_dir: str, coarse: bool = False) -> DataFrame:
     """Clean table, plus `item`, `categoria` and `unidad_esperada` (the part name and its
-    noun stand in for the basket) and `orden`, the position within the source."""
+    noun stand in for the basket; only the noun when coarse) and `orden`, the position within
+    the source."""
     line = F.col("l_linenumber")
     sized = line != 7
     return _listing(spark, sf_dir).select(
@@ -98,7 +99,7 @@ def clean_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(line <= 3, "1").when(sized, F.col("l_quantity").cast("int").cast("string"))
         .alias("productos_cantidad_presentacion"),
         _unit_text().alias("productos_unidad_medida_presentacion"),
-        F.col("p_name").alias("item"),
+        (_noun() if coarse else F.col("p_name")).alias("item"),
         _noun().alias("categoria"),
         F.lit("kg").alias("unidad_esperada"),
         _order().alias("orden"),
@@ -115,14 +116,138 @@ def _unit_text() -> Column:
     return F.element_at(texts, (F.col("l_suppkey") % len(UNIT_TEXTS) + 1).cast("int"))
 
 
-def dim_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dim_items(spark: SparkSession, sf_dir: str, coarse: bool = False) -> DataFrame:
     """The part names as basket: item, categoria, unidad_base, cantidad_mes."""
     return (
         read(spark, sf_dir, "part")
-        .select(F.col("p_name").alias("item"), _noun().alias("categoria"))
+        .select((_noun() if coarse else F.col("p_name")).alias("item"), _noun().alias("categoria"))
         .distinct()
         .select(
             "item", "categoria", F.lit("kg").alias("unidad_base"),
             (1 + F.length("item") % 5).cast("double").alias("cantidad_mes"),
         )
     )
+
+
+# Shelf texts, most of them of the basket, some excluded from it or outside it.
+SHELF = (
+    "LECHE ENTERA", "LECHE ENTERA EN POLVO", "YOGUR BEBIBLE FRUTILLA", "QUESO CREMOSO",
+    "QUESO CREMOSO UNTABLE", "MANTECA", "MANTECA DE MANI", "PAN LACTAL BLANCO", "HARINA 000",
+    "HARINA 0000 LEUDANTE", "FIDEO GUISERO", "FIDEO FRESCO", "ARROZ LARGO FINO",
+    "ARROZ INTEGRAL LARGO", "ACEITE GIRASOL", "ACEITE GIRASOL Y OLIVA", "AZUCAR COMUN",
+    "AZUCAR MASCABO", "YERBA MATE", "CAFE MOLIDO", "CAFE INSTANTANEO", "PURE DE TOMATE",
+    "ARVEJA SECA", "ARVEJAS", "ATUN AL NATURAL", "HUEVO BLANCO", "HUEVO CHOCOLATE", "PAPA NEGRA",
+    "PAPA FRITA", "PAPAÑA", "BANANA ECUADOR", "COCA COLA", "GASEOSA COLA ZERO",
+    "AGUA MINERAL SIN GAS", "CERVEZA RUBIA", "CERVEZA SIN ALCOHOL", "DETERGENTE LIMON",
+    "LAVANDINA", "JABON EN POLVO", "PAPEL HIGIENICO", "SHAMPOO 2 EN 1", "SHAMPOO NEUTRO",
+    "CREMA DENTAL", "PASTA DENTAL ENJUAGUE", "TELEVISOR LED", "CEMENTO", "CAFÉ MOLIDO",
+)
+
+
+def _shelf_text() -> Column:
+    """A shelf text by part and a package size in seven notations, in mixed case and padded."""
+    phrase = F.element_at(
+        F.array(*[F.lit(t) for t in SHELF]), (F.col("p_partkey") % len(SHELF) + 1).cast("int")
+    )
+    size = F.col("p_size").cast("string")
+    kind = F.col("p_partkey") % 7
+    ending = (
+        F.when(kind == 0, F.concat(F.lit(" "), size, F.lit("0 GR")))
+        .when(kind == 1, F.concat(F.lit(" X "), size, F.lit(" X 500 ML")))
+        .when(kind == 2, F.concat(F.lit(" "), size, F.lit(",5 KG")))
+        .when(kind == 3, " POR KG")
+        .when(kind == 4, F.concat(F.lit(" N"), size, F.lit(" DOCENA")))
+        .when(kind == 5, " MEDIA DOCENA")
+        .otherwise("")
+    )
+    text = F.concat(phrase, ending)
+    return F.when(F.col("l_linenumber") % 2 == 0, F.concat(F.lit("  "), F.lower(text), F.lit(" "))).otherwise(text)
+
+
+def cents() -> Column:
+    """The list price in cents with the dirt of a price feed: zeros and shifted commas."""
+    exact = F.round(F.col("l_extendedprice") * 100).cast("long")
+    return (
+        F.when(F.col("l_orderkey") % 211 == 0, F.lit(0).cast("long"))
+        .when(F.col("l_orderkey") % 307 == 0, exact * 100)
+        .otherwise(exact)
+    )
+
+
+def _price_text() -> Column:
+    """The price as text in three notations; some rows have no number at all."""
+    pesos, rest = F.floor(F.col("_cents") / 100), F.lpad((F.col("_cents") % 100).cast("string"), 2, "0")
+    form = F.col("l_linenumber") % 3
+    grouped = F.translate(F.format_number(pesos, 0), ",", ".")
+    return (
+        F.when(F.col("l_orderkey") % 401 == 0, "S/D")
+        .when(form == 0, F.concat(grouped, F.lit(","), rest))
+        .when(form == 1, F.concat(pesos.cast("string"), F.lit("."), rest))
+        .otherwise(F.concat(F.lit("$ "), pesos.cast("string"), F.lit(","), rest))
+    )
+
+
+def _code_text() -> Column:
+    code = (F.lit(7790000000000) + F.col("l_partkey")).cast("string")
+    return (
+        F.when(F.col("l_orderkey") % 101 == 0, "0")
+        .when(F.col("l_orderkey") % 103 == 0, "AB-12")
+        .when(F.col("l_linenumber") % 2 == 0, F.concat(F.lit("000"), code))
+        .otherwise(code)
+    )
+
+
+def raw_productos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw product listings, all text, with `fecha` and `orden` as the raw reader adds them."""
+    return _listing(spark, sf_dir).withColumn("_cents", cents()).select(
+        _date().alias("fecha"),
+        _order().alias("orden"),
+        F.col("c_mktsegment").alias("id_comercio"),
+        F.col("l_suppkey").cast("string").alias("id_sucursal"),
+        _code_text().alias("id_producto"),
+        F.lit("1").alias("productos_ean"),
+        _shelf_text().alias("productos_descripcion"),
+        _price_text().alias("productos_precio_lista"),
+        F.col("p_brand").alias("productos_marca"),
+        F.when(F.col("l_linenumber") < 7, F.col("l_quantity").cast("int").cast("string"))
+        .alias("productos_cantidad_presentacion"),
+        _unit_text().alias("productos_unidad_medida_presentacion"),
+    )
+
+
+def raw_sucursales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Branches per day and merchant, with province codes and a later copy that must lose.
+    Every seventeenth supplier is missing."""
+    seen = _listing(spark, sf_dir).select(
+        _date().alias("fecha"), F.col("c_mktsegment").alias("id_comercio"), "l_suppkey"
+    ).distinct()
+    suppliers = read(spark, sf_dir, "supplier").where(F.col("s_suppkey") % 17 != 0)
+    both = seen.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+    code = F.concat(F.lit("AR-"), F.char(F.col("s_nationkey") + 65))
+    branch = both.select(
+        "fecha", "id_comercio", F.col("s_suppkey").cast("string").alias("id_sucursal"),
+        F.explode(F.array(F.struct(F.lit(0).alias("orden"), code.alias("provincia")),
+                          F.struct(F.lit(1).alias("orden"), F.lit("AR-B").alias("provincia")))).alias("v"),
+        F.col("s_name").alias("sucursales_localidad"),
+    )
+    return branch.select(
+        "fecha", "id_comercio", "id_sucursal", F.col("v.orden").alias("orden"),
+        F.col("v.provincia").alias("sucursales_provincia"), "sucursales_localidad",
+    )
+
+
+def raw_comercio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merchants per day: one has no banner name and one is missing."""
+    name = F.col("c_mktsegment")
+    dates = read(spark, sf_dir, "lineitem").select(_date().alias("fecha")).distinct()
+    merchants = (
+        read(spark, sf_dir, "customer").select("c_mktsegment").distinct()
+        .where(name != "MACHINERY")
+        .agg(F.collect_set("c_mktsegment").alias("_names"))
+    )
+    listed = dates.select("fecha", F.explode(merchants.scalar()).alias("c_mktsegment"))
+    return listed.select(
+        "fecha", F.lit(0).alias("orden"), name.alias("id_comercio"),
+        F.concat(name, F.lit(" S.A.")).alias("comercio_razon_social"),
+        F.when(name != "BUILDING", F.concat(F.lit(" "), F.lower(name))).alias("comercio_bandera_nombre"),
+    )
