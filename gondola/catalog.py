@@ -177,7 +177,7 @@ def comparables(t: Tables) -> DataFrame:
             "fecha", "cadena", "provincia", "id_sucursal", "ean", "item", "precio_unitario",
             "referencia", "motivo",
         ),
-        precio_unitario=6, referencia=6,
+        referencia=6,
     )
 
 
@@ -239,13 +239,13 @@ def descripcion_normalizada(t: Tables) -> DataFrame:
 @query
 def tamano_envase(t: Tables) -> DataFrame:
     typed = clean_plan.typed(t.raw)
-    sized = texts.with_size(typed, texts.text_dictionary(typed))
+    sized = texts.with_size(typed, texts.text_dictionary(typed), texts.unit_dictionary(typed))
     return rounded(
         sized.select(
             *_keyed(sized), "cantidad_desc", "unidad_desc", "cantidad_pres", "unidad_pres",
             "cantidad_base", "unidad_base", "fuente_tamano", "precio_unitario",
         ),
-        cantidad_desc=6, cantidad_pres=6, cantidad_base=6, precio_unitario=4,
+        cantidad_desc=6, cantidad_pres=6, cantidad_base=6,
     )
 
 
@@ -321,10 +321,7 @@ def dedupe(t: Tables) -> DataFrame:
 
 @query
 def outliers_ean(t: Tables) -> DataFrame:
-    far = quality.outlier_prices(t.clean)
-    return far.select(
-        F.col("_fecha").alias("fecha"), F.col("_ean").alias("ean"), F.col("_precio").alias("precio")
-    )
+    return quality.outlier_prices(t.clean).select("fecha", "ean", "precio")
 
 
 @query
@@ -366,7 +363,7 @@ def tabla_limpia(t: Tables) -> DataFrame:
             *[c for c in CLEAN_COLUMNS if c not in ("cantidad_base", "precio_unitario")],
             "cantidad_base", "precio_unitario", "productos_marca",
         ),
-        cantidad_base=6, precio_unitario=4,
+        cantidad_base=6,
     )
 
 
@@ -677,7 +674,7 @@ def cobertura_revisar(t: Tables) -> DataFrame:
 @query
 def items_sin_datos(t: Tables) -> DataFrame:
     """Items of the basket with no listing at a bulk price, found by an anti join."""
-    bulk = t.clean.where(F.col("precio_unitario") > 50_000).select("item").distinct()
+    bulk = t.clean.where(F.col("precio_unitario") > 104_000).select("item").distinct()
     return diagnostics.items_without_data(bulk, t.dim)
 
 

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from gondola.functions.text import chain_name, province_name
+from gondola.functions.text import NO_CHAIN, NO_PROVINCE, chain_name, province_name
+from gondola.sources.shared import materialize
 
-BRANCH_COLUMNS = (
-    "sucursales_provincia", "sucursales_localidad", "sucursales_latitud", "sucursales_longitud",
-)
+PLACE_COLUMNS = ("sucursales_localidad", "sucursales_latitud", "sucursales_longitud")
+BRANCH_COLUMNS = ("sucursales_provincia", *PLACE_COLUMNS)
 CHAIN_COLUMNS = ("comercio_razon_social", "comercio_bandera_nombre")
 
 
@@ -19,24 +19,33 @@ def _first_per_key(df: DataFrame, keys: list[str], columns: tuple[str, ...]) ->
     return df.groupBy(*keys).agg(first.alias("_first")).select(*keys, "_first.*")
 
 
+def branches(sucursales: DataFrame) -> DataFrame:
+    """fecha, id_comercio, id_sucursal, provincia and place columns, written, so that its real
+    size decides how product rows meet it. Names are made here, once per branch."""
+    first = _first_per_key(sucursales, ["fecha", "id_comercio", "id_sucursal"], BRANCH_COLUMNS)
+    named = first.withColumn("provincia", province_name(F.col("sucursales_provincia")))
+    return materialize(named.drop("sucursales_provincia"), "branches")
+
+
+def chains(comercios: DataFrame) -> DataFrame:
+    """fecha, id_comercio, cadena, written."""
+    first = _first_per_key(comercios, ["fecha", "id_comercio"], CHAIN_COLUMNS)
+    named = first.withColumn(
+        "cadena", chain_name(F.col("comercio_bandera_nombre"), F.col("comercio_razon_social"))
+    )
+    return materialize(named.drop(*CHAIN_COLUMNS), "chains")
+
+
 def enrich(
     df: DataFrame, sucursales: DataFrame | None, comercios: DataFrame | None
 ) -> DataFrame:
-    """Adds `cadena` and `provincia` (and the place columns) by day, merchant and branch. Rows
+    """Adds `cadena`, `provincia` and the place columns by day, merchant and branch. Rows
     without a match are kept. Both tables carry `fecha` and `orden`."""
     if sucursales is not None:
-        keys = ["fecha", "id_comercio", "id_sucursal"]
-        df = df.join(_first_per_key(sucursales, keys, BRANCH_COLUMNS), keys, "left")
+        df = df.join(branches(sucursales), ["fecha", "id_comercio", "id_sucursal"], "left")
     if comercios is not None:
-        keys = ["fecha", "id_comercio"]
-        df = df.join(_first_per_key(comercios, keys, CHAIN_COLUMNS), keys, "left")
-    for name in BRANCH_COLUMNS + CHAIN_COLUMNS:
+        df = df.join(chains(comercios), ["fecha", "id_comercio"], "left")
+    for name in ("provincia", "cadena", *PLACE_COLUMNS):
         if name not in df.columns:
             df = df.withColumn(name, F.lit(None).cast("string"))
-    return (
-        df.withColumn(
-            "cadena", chain_name(F.col("comercio_bandera_nombre"), F.col("comercio_razon_social"))
-        )
-        .withColumn("provincia", province_name(F.col("sucursales_provincia")))
-        .drop(*CHAIN_COLUMNS, "sucursales_provincia")
-    )
+    return df.fillna({"cadena": NO_CHAIN, "provincia": NO_PROVINCE})

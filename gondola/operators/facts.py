@@ -5,29 +5,44 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from gondola.config import DEFAULTS, Thresholds
-from gondola.operators.quantiles import exact_quantiles
+from gondola.operators.quantiles import BUFFER_VALUES, exact_quantiles, largest_group
 from gondola.sources.shared import materialize
 
 PRICE_GRAIN = ("fecha", "item", "categoria", "cadena", "provincia")
 
 
-def fact_precio_item(precios: DataFrame, cfg: Thresholds = DEFAULTS) -> DataFrame:
+def fact_precio_item(
+    precios: DataFrame, cfg: Thresholds = DEFAULTS, buffer_values: int = BUFFER_VALUES
+) -> DataFrame:
     """Median unit price, observations and distinct EANs per date, item, chain and province.
 
-    The branches of a chain mostly share a product's price, so the rows are first counted per
-    (grain, EAN, unit price) into a written table; everything else works on that much smaller
-    table. Rows without a unit price are not comparable and take no part.
+    The groups are sized first (an action). If none can overfill a median's buffer, one
+    aggregation does the rest. Otherwise the rows are counted per (grain, EAN, unit price)
+    into a written table, which spreads a large group over many tasks, and the medians come
+    from there. Rows without a unit price are not comparable and take no part.
     """
     keys = list(PRICE_GRAIN)
+    rows = precios.select(*keys, "ean", "precio_unitario").dropna(
+        subset=[*keys, "precio_unitario"]
+    )
+    if largest_group(rows, keys) <= buffer_values:
+        return (
+            rows.groupBy(*keys)
+            .agg(
+                F.median("precio_unitario").alias("precio_mediano"),
+                F.count(F.lit(1)).alias("n_observaciones"),
+                F.countDistinct("ean").alias("n_eans"),
+            )
+            .where(F.col("n_observaciones") >= cfg.fact_rows_min)
+        )
     counted = materialize(
-        precios.select(*keys, "ean", "precio_unitario")
-        .dropna(subset=[*keys, "precio_unitario"])
-        .groupBy(*keys, "ean", "precio_unitario")
-        .agg(F.count(F.lit(1)).alias("filas")),
+        rows.groupBy(*keys, "ean", "precio_unitario").agg(F.count(F.lit(1)).alias("filas")),
         "price-counts",
     )
     eans = counted.select(*keys, "ean").distinct().groupBy(*keys).agg(F.count("ean").alias("n_eans"))
-    medians = exact_quantiles(counted, keys, "precio_unitario", {"precio_mediano": 0.5})
+    medians = exact_quantiles(
+        counted, keys, "precio_unitario", {"precio_mediano": 0.5}, buffer_values
+    )
     return (
         medians.where(F.col("n") >= cfg.fact_rows_min)
         .join(eans, keys)

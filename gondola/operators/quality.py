@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from gondola.config import DEFAULTS, RULES, Thresholds
 from gondola.operators.common import pct
-from gondola.operators.quantiles import exact_quantiles, value_counts
+from gondola.operators.quantiles import exact_median
 from gondola.sources.shared import materialize
 
 log = logging.getLogger(__name__)
@@ -40,37 +40,66 @@ def _same(left: DataFrame, right: DataFrame, columns) -> Column:
 
 
 def repeated_listings(df: DataFrame) -> DataFrame:
-    """Keys listed more than once in a day, with the order of the row to keep (the last)."""
-    return (
-        df.groupBy(*[F.col(c).alias(f"_{c}") for c in LISTING])
-        .agg(F.count(F.lit(1)).alias("_veces"), F.max("orden").alias("_ultimo"))
-        .where(F.col("_veces") > 1)
-        .drop("_veces")
+    """Keys listed more than once in a day, with the order of the row to keep, the last (an
+    action). A plain count finds the keys; only their rows are looked at for the order."""
+    renamed = df.select(*[F.col(c).alias(f"_{c}") for c in LISTING], F.col("orden"))
+    keys = [f"_{c}" for c in LISTING]
+    repeated = materialize(
+        renamed.groupBy(*keys).count().where(F.col("count") > 1).drop("count"), "repeated-keys"
+    )
+    match = F.lit(True)
+    for key in keys:
+        match = match & renamed[key].eqNullSafe(repeated[key])
+    return renamed.join(repeated, match, "left_semi").groupBy(*keys).agg(
+        F.max("orden").alias("_ultimo")
     )
 
 
-def outlier_prices(df: DataFrame, cfg: Thresholds = DEFAULTS) -> DataFrame:
-    """Prices of an EAN and day that are too far from that day's median of the EAN."""
-    keys = ["fecha", "ean"]
-    counts = value_counts(df, keys, "precio")
-    medians = exact_quantiles(counts, keys, "precio", {"mediana": 0.5}).where(
-        F.col("n") >= cfg.outlier_min_rows
-    )
-    ratio = F.try_divide("precio", "mediana")
-    return (
-        counts.join(medians, keys)
-        .where(~ratio.between(cfg.outlier_ratio_min, cfg.outlier_ratio_max))
-        .select(*[F.col(c).alias(f"_{c}") for c in ("fecha", "ean", "precio")])
+def wide_medians(df: DataFrame, cfg: Thresholds = DEFAULTS) -> DataFrame:
+    """_fecha, _ean, _mediana of the EANs and days that can hold an outlier (an action).
+
+    Where the highest price is within the allowed ratios of the lowest, every price is within
+    them of the median, which lies between. Counts and extremes shrink map-side, so most EANs
+    are settled by them, and the median is taken of the others only.
+    """
+    keys = ["_fecha", "_ean"]
+    prices = df.select(F.col("fecha").alias("_fecha"), F.col("ean").alias("_ean"), "precio")
+    low, high = F.min("precio"), F.max("precio")
+    wide = materialize(
+        prices.groupBy(*keys)
+        .agg(F.count("precio").alias("n"), low.alias("_low"), high.alias("_high"))
+        .where(F.col("n") >= cfg.outlier_min_rows)
+        .where(
+            (F.try_divide("_high", "_low") > cfg.outlier_ratio_max)
+            | (F.try_divide("_low", "_high") < cfg.outlier_ratio_min)
+        )
+        .drop("_low", "_high"),
+        "wide-eans",
     )
+    rows = prices.join(wide.select(*keys), keys, "left_semi")
+    return exact_median(rows, keys, "precio", "_mediana", wide).drop("n")
+
+
+def _is_outlier(cfg: Thresholds) -> Column:
+    ratio = F.try_divide("precio", "_mediana")
+    return F.coalesce(~ratio.between(cfg.outlier_ratio_min, cfg.outlier_ratio_max), F.lit(False))
+
+
+def outlier_prices(df: DataFrame, cfg: Thresholds = DEFAULTS) -> DataFrame:
+    """Rows whose price is too far from that day's median of their EAN (an action)."""
+    medians = materialize(wide_medians(df, cfg), "wide-medians")
+    joined = df.join(medians, _same(df, medians, ("fecha", "ean")))
+    return joined.where(_is_outlier(cfg)).drop(*medians.columns)
 
 
 def annotate_rules(df: DataFrame, cfg: Thresholds = DEFAULTS) -> DataFrame:
     """Adds `descarte`, the first rule that discards the row, null for kept rows.
 
     `df` has fecha, id_comercio, id_sucursal, ean, precio and `orden`, the position in the
-    source. It is read three times, so pass a stored table. The offending keys of the two
-    group rules are few; they are found by aggregation (which shrinks a group of copies before
-    the shuffle), written, and joined back. That join is a broadcast while they are small.
+    source. It is read several times, so pass a stored table. The keys that the two group
+    rules have to look at are few; they are found by aggregation, which shrinks a group of
+    copies before the shuffle, written, and joined back: broadcast while their real size
+    allows, else a shuffled join whose large partitions adaptive execution splits.
     """
     df = df.withColumn("descarte", _row_rule(cfg))
     repeated = materialize(
@@ -81,13 +110,13 @@ def annotate_rules(df: DataFrame, cfg: Thresholds = DEFAULTS) -> DataFrame:
     df = df.withColumn("descarte", F.when(older, "duplicados").otherwise(F.col("descarte")))
     df = df.drop(*repeated.columns)
 
-    far = materialize(
-        outlier_prices(df.where(F.col("descarte").isNull()), cfg), "outlier-prices"
-    ).withColumn("_lejos", F.lit(True))
-    df = df.join(far, _same(df, far, ("fecha", "ean", "precio")), "left")
-    outlier = F.col("descarte").isNull() & F.col("_lejos").isNotNull()
+    medians = materialize(
+        wide_medians(df.where(F.col("descarte").isNull()), cfg), "wide-medians"
+    )
+    df = df.join(medians, _same(df, medians, ("fecha", "ean")), "left")
+    outlier = F.col("descarte").isNull() & _is_outlier(cfg)
     df = df.withColumn("descarte", F.when(outlier, "outliers").otherwise(F.col("descarte")))
-    return df.drop(*far.columns)
+    return df.drop(*medians.columns)
 
 
 def kept(annotated: DataFrame) -> DataFrame:

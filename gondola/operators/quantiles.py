@@ -3,7 +3,8 @@
 Spark's `median` and `percentile` keep the distinct values of a group in one buffer. A group
 here may hold a large share of the table (one item, one chain, one product), so:
 
-1. rows are counted per (group, value) with map-side combining. A repeated price becomes one
+0. the groups are sized; if all are small enough, `median` does the work at once;
+1. else rows are counted per (group, value) with map-side combining. A repeated price becomes one
    weighted row, and a large group is spread over many tasks by its values. The counts are
    written as a table;
 2. if no group has more than `BUFFER_VALUES` distinct values, `percentile` weighted by those
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from gondola.sources.shared import materialize
 
-BUFFER_VALUES = 1_000_000
+BUFFER_VALUES = 100_000
 CELLS_PER_UNIT = 1 << 14
 
 
@@ -41,6 +42,11 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return materialize(counts, "value-counts")
 
 
+def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
+    """Rows of the largest group (an action)."""
+    return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+
+
 def exact_quantiles(
     counts: DataFrame,
     keys: Sequence[str],
@@ -54,15 +60,13 @@ def exact_quantiles(
     `counts` is a written table of weighted values, as from `value_counts`; it may have further
     columns. Runs one small job to size the largest group.
     """
-    sizes = counts.groupBy(*keys).count() if keys else counts.groupBy().count()
-    largest = sizes.agg(F.max("count")).first()[0] or 0
-    if largest <= buffer_values:
+    if largest_group(counts, keys) <= buffer_values:
+        # One buffer serves all probabilities.
+        wanted = F.array(*[F.lit(float(p)) for p in probabilities.values()])
         return counts.groupBy(*keys).agg(
-            *[
-                F.percentile(value, F.lit(float(p)), F.col("filas")).alias(name)
-                for name, p in probabilities.items()
-            ],
-            F.sum("filas").alias("n"),
+            F.percentile(value, wanted, F.col("filas")).alias("_found"), F.sum("filas").alias("n")
+        ).select(
+            *keys, *[F.col("_found")[i].alias(name) for i, name in enumerate(probabilities)], "n"
         )
     return _quantiles_by_cells(counts, list(keys), value, probabilities)
 
@@ -125,7 +129,23 @@ def _quantiles_by_cells(
 
 
 def exact_median(
-    df: DataFrame, keys: Sequence[str], value: str, name: str = "mediana"
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    name: str = "mediana",
+    sizes: DataFrame | None = None,
+    buffer_values: int = BUFFER_VALUES,
 ) -> DataFrame:
-    """keys, `name` and `n` of a row-level frame (an action: the counts are written)."""
-    return exact_quantiles(value_counts(df, keys, value), keys, value, {name: 0.5})
+    """keys, `name` and `n`, the number of values, of a row-level frame.
+
+    The groups are sized first (an action; `sizes`, keys and `n`, if known already). While
+    none can overfill the buffer, that leaves one aggregation; otherwise the values are counted
+    and `exact_quantiles` goes on from there.
+    """
+    present = df.select(*keys, value).dropna(subset=[*keys, value])
+    largest = largest_group(present, keys) if sizes is None else sizes.agg(F.max("n")).first()[0]
+    if (largest or 0) <= buffer_values:
+        return present.groupBy(*keys).agg(
+            F.median(value).alias(name), F.count(F.lit(1)).alias("n")
+        )
+    return exact_quantiles(value_counts(df, keys, value), keys, value, {name: 0.5}, buffer_values)

@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from gondola.dims import BASKET, BasketItem
 from gondola.functions.size import parse_size
-from gondola.functions.text import to_ascii
-from gondola.functions.units import presentation_size
+from gondola.functions.text import plain_number, to_ascii, unit_clean
+from gondola.functions.units import unit_of
 from gondola.sources.shared import materialize
 
 
@@ -70,31 +70,41 @@ def text_dictionary(
     return materialize(parsed, "texts")
 
 
-def with_size(df: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """Package size and unit price. The description wins; the declared presentation fills
-    what is missing, and `fuente_tamano` tells which one gave the quantity."""
-    sized = df.join(
-        dictionary.select("descripcion", "cantidad_desc", "unidad_desc"), "descripcion", "left"
-    ).withColumn(
-        "_pres",
-        presentation_size(
-            F.col("productos_cantidad_presentacion"),
-            F.col("productos_unidad_medida_presentacion"),
-        ),
+UNIT_COLUMN = "productos_unidad_medida_presentacion"
+
+
+def unit_dictionary(df: DataFrame) -> DataFrame:
+    """One row per distinct unit text: its base unit and factor (an action)."""
+    known = unit_of(unit_clean(F.col(UNIT_COLUMN)))
+    found = df.select(UNIT_COLUMN).where(F.col(UNIT_COLUMN).isNotNull()).distinct().select(
+        UNIT_COLUMN, known.alias("_u")
+    )
+    return materialize(
+        found.select(UNIT_COLUMN, F.col("_u.unidad").alias("unidad_pres"), F.col("_u.factor").alias("_factor")),
+        "units",
     )
-    quantity = F.coalesce("cantidad_desc", "_pres.cantidad")
+
+
+def with_size(df: DataFrame, dictionary: DataFrame, unit_texts: DataFrame) -> DataFrame:
+    """Package size and unit price. The description wins; the declared presentation fills
+    what is missing, and `fuente_tamano` tells which one gave the quantity. The unit stays
+    even if its quantity is missing."""
+    number = plain_number(F.col("productos_cantidad_presentacion"))
+    sizes = dictionary.select("descripcion", "cantidad_desc", "unidad_desc")
     return (
-        sized.withColumn("cantidad_base", quantity)
-        .withColumn("unidad_base", F.coalesce("unidad_desc", "_pres.unidad"))
+        df.join(sizes, "descripcion", "left")
+        .join(unit_texts, UNIT_COLUMN, "left")
+        .withColumn("_numero", number)
+        .withColumn("cantidad_pres", F.when(F.col("_numero") > 0, F.col("_numero") * F.col("_factor")))
+        .withColumn("cantidad_base", F.coalesce("cantidad_desc", "cantidad_pres"))
+        .withColumn("unidad_base", F.coalesce("unidad_desc", "unidad_pres"))
         .withColumn(
             "fuente_tamano",
             F.when(F.col("cantidad_desc").isNotNull(), "descripcion")
-            .when(F.col("_pres.cantidad").isNotNull(), "presentacion"),
+            .when(F.col("cantidad_pres").isNotNull(), "presentacion"),
         )
         .withColumn("precio_unitario", F.try_divide("precio", "cantidad_base"))
-        .withColumn("cantidad_pres", F.col("_pres.cantidad"))
-        .withColumn("unidad_pres", F.col("_pres.unidad"))
-        .drop("_pres")
+        .drop("_numero", "_factor")
     )
 
 

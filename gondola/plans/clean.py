@@ -8,7 +8,7 @@ from gondola.config import CLEAN_COLUMNS, CLEAN_EXTRAS, DEFAULTS, Thresholds
 from gondola.functions.text import desc_norm, ean_norm, to_number
 from gondola.operators.enrich import enrich
 from gondola.operators.quality import annotate_rules, enforce_guardrail, kept, quality_metrics
-from gondola.operators.texts import text_dictionary, with_size
+from gondola.operators.texts import text_dictionary, unit_dictionary, with_size
 from gondola.sources.landing import discover
 from gondola.sources.raw import read_role
 from gondola.sources.shared import materialize
@@ -31,10 +31,12 @@ def audit(
     comercios: DataFrame | None,
     cfg: Thresholds = DEFAULTS,
 ) -> DataFrame:
-    """All rows, sized, enriched and annotated with the rule that discards them."""
+    """All rows, annotated with the rule that discards them, sized and enriched. The rules read
+    the staged rows several times and need none of the joins that follow."""
     staged = materialize(typed(productos), "staged")
-    sized = with_size(staged, text_dictionary(staged))
-    return enrich(annotate_rules(sized, cfg), sucursales, comercios)
+    annotated = annotate_rules(staged, cfg)
+    sized = with_size(annotated, text_dictionary(staged), unit_dictionary(staged))
+    return enrich(sized, sucursales, comercios)
 
 
 def clean_rows(audited: DataFrame) -> DataFrame:
@@ -59,7 +61,11 @@ def clean_days(
     table = f"{out}/precios"
     files = materialize(pending(discover(spark, landing), table, force), "files")
     read = {role: read_role(spark, role, landing, files) for role in ("productos", "sucursales", "comercio")}
-    audited = audit(read["productos"][0], read["sucursales"][0], read["comercio"][0], cfg)
+    # Stored with its rejected rows: the guardrail, the clean table and the quality record all
+    # read it, and none of them repeats a join.
+    audited = materialize(
+        audit(read["productos"][0], read["sucursales"][0], read["comercio"][0], cfg), "audited"
+    )
     enforce_guardrail(audited, cfg, ignore_guardrail)
     write_clean(clean_rows(audited), table)
     upsert_quality(quality_metrics(audited, cfg), f"{out}/calidad")

@@ -79,7 +79,8 @@ def main() -> None:
         print(f"{name:28s} {'ok' if same else 'DIFFERS'} {len(rows)} rows {seconds:.2f}s", flush=True)
         if not same:
             print("   ", columns, wanted_columns if columns != wanted_columns else "", len(rows), len(wanted))
-            mine, theirs = [r for r in rows if r not in set(wanted)], [r for r in wanted if r not in set(rows)]
+            here, there = set(rows), set(wanted)
+            mine, theirs = sorted(here - there, key=repr), sorted(there - here, key=repr)
             print("    spark ", len(mine), mine[:3], "\n    oracle", len(theirs), theirs[:3], flush=True)
     print("differing:", bad, "of", len(queries))
 
