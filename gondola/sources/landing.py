@@ -75,7 +75,7 @@ def _first_lines(path: str) -> tuple[str, str]:
             if not chunk:
                 break
             data += chunk
-    lines = data.decode("utf-8", errors="replace").removeprefix("﻿").splitlines()
+    lines = data.decode("utf-8", errors="replace").removeprefix("\ufeff").splitlines()
     return (lines + ["", ""])[0], (lines + ["", ""])[1]
 
 

@@ -13,7 +13,7 @@ from gondola.sources.landing import day_of, detect_dialect, discover, slug
 MISSING = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
            "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
-BAD_LINE = "_linea"
+BAD_LINE = "_corrupt_record"
 REJECT_SCHEMA = "path string, motivo string"
 
 
@@ -26,22 +26,26 @@ def _names(header: str, sep: str) -> list[str]:
     return names
 
 
-def _too_long(sep: str, fields: int) -> Column:
+def _too_long(sep: str, first: str, fields: int) -> Column:
     """A line with more fields than the header; shorter ones are padded and kept."""
     unquoted = F.regexp_replace(BAD_LINE, '"[^"]*"', "")
     separators = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(sep), F.lit("")))
-    return F.coalesce(separators >= fields, F.lit(False))
+    # The reader refuses queries that need the bad line alone, as a plain count would; the
+    # first field is read along with it.
+    read_too = F.coalesce(F.length(first), F.lit(0)) >= 0
+    return F.coalesce((separators >= fields) & read_too, F.lit(False))
 
 
 def _read_group(
     spark: SparkSession, paths: list[str], sep: str, names: list[str], wanted: list[str], root: str
 ) -> DataFrame:
-    """Files that share delimiter and header, read with one all-text schema."""
+    """Files that share delimiter and header, read with one all-text schema. All columns are
+    parsed, since a pruned parser does not notice lines of the wrong length."""
     schema = ", ".join(f"`{n}` string" for n in [*names, BAD_LINE])
     rows = (
         spark.read.schema(schema)
         .options(sep=sep, header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=BAD_LINE,
-                 quote='"', escape='"', encoding="UTF-8")
+                 quote='"', escape='"', encoding="UTF-8", columnPruning=False)
         .csv(paths)
     )
     present = [n for n in wanted if n in names]
@@ -57,7 +61,7 @@ def _read_group(
             BAD_LINE,
             *present,
         )
-        .where(~_too_long(sep, len(names)))
+        .where(~_too_long(sep, names[0], len(names)))
         .select(
             "fecha", "orden",
             *[F.when(~F.col(n).isin(list(MISSING)), F.col(n)).alias(n) for n in present],
