@@ -20,11 +20,18 @@ def _write_days(df: DataFrame, path: str) -> None:
 
 
 def stored_days(spark: SparkSession, path: str) -> DataFrame | None:
-    """The days a table holds, or None if there is no table yet."""
+    """The days a table holds, told by its folders without opening a file; None if there is no
+    table yet."""
     try:
-        return spark.read.parquet(path).select(F.col("fecha").cast("date").alias("fecha")).distinct()
+        files = (
+            spark.read.format("binaryFile")
+            .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+            .load(path)
+        )
     except AnalysisException:
         return None
+    day = F.regexp_extract("path", r"/fecha=(\d{4}-\d{2}-\d{2})/", 1)
+    return files.select(F.try_to_date(F.nullif(day, F.lit(""))).alias("fecha")).distinct()
 
 
 def pending(df: DataFrame, path: str, force: bool = False) -> DataFrame:

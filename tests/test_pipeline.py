@@ -64,6 +64,18 @@ def test_entry(spark):
     assert df.count() > 0 and "gap_pct" in df.columns
 
 
+# Queries over the star tables, which are empty at the smallest scale.
+STAR = {
+    "precio_item", "dispersion", "canasta", "ranking_cadenas", "top_dispersion", "hallazgos",
+    "variacion_canasta", "canasta_actual", "dispersion_item", "dispersion_categoria",
+    "canasta_por_fecha", "geografia", "indice_cadenas", "pareto_ahorro", "pivot_cadena_categoria",
+    "lider_categoria", "variacion_diaria", "variacion_diaria_pivot", "detalle", "explorador",
+    "banda_brecha", "listas_filtro", "exportacion",
+}
+
+
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_oracle(spark, sf, name):
+    if name in STAR:
+        sf = sf.replace("sf0.001", "sf0.01")
     assert spark_rows(entry.queries()[name](spark, sf)) == oracle_rows(sf, entry.oracle_sql()[name])
