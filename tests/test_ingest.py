@@ -20,7 +20,7 @@ def _write(root, name, text):
 @pytest.fixture
 def lake(tmp_path):
     root = tmp_path / "raw"
-    _write(root, "2026-07-24/sepa_1/productos.csv", "\n".join([
+    _write(root, "2026-07-24/feed_1/productos.csv", "\n".join([
         CORE + "|productos_marca|otra",
         "1|10|779001|LECHE ENTERA 1L|1.380,00|ILOLAY|x",
         '1|10|779002|"CAFE | MOLIDO"|900|NA|x',          # quoted delimiter, missing text
@@ -29,7 +29,7 @@ def lake(tmp_path):
         "",
         "1|11|779001|REPETIDA|2|M|x",
     ]))
-    _write(root, "2026-07-24/sepa_2/Producto_b.csv", "\n".join([
+    _write(root, "2026-07-24/feed_2/Producto_b.csv", "\n".join([
         CORE.replace("|", ";"),
         "2;10;779005;ARROZ 1KG;12,5;",                    # one nameless field at the end
         "2;10;779006;AZUCAR;13;",
@@ -46,7 +46,7 @@ def lake(tmp_path):
 
 def test_discover(spark, lake):
     found = {(r["path"].split("/raw/")[1], r["rol"], str(r["fecha"])) for r in landing.discover(spark, lake).collect()}
-    assert ("2026-07-24/sepa_2/Producto_b.csv", "productos", "2026-07-24") in found
+    assert ("2026-07-24/feed_2/Producto_b.csv", "productos", "2026-07-24") in found
     assert ("2026-07-25/c/comercio.csv", "comercio", "2026-07-25") in found
     assert len(found) == 6 and not any("docs" in p or "leame" in p for p, _, _ in found)
 
@@ -104,15 +104,15 @@ def test_archives(spark, tmp_path, monkeypatch):
     lines = [CORE] + [f"1|10|{n}|TEXTO {n}|{n},50" for n in range(1000, 1040)]
     inner = _zip({"productos.csv": "\n".join(lines), "comercio.csv": "id_comercio|comercio_razon_social\n1|COTO\n"})
     outer = _zip({
-        "2026-07-24/sepa_1_2026-07-24.zip": inner,
+        "2026-07-24/feed_1_2026-07-24.zip": inner,
         "2026-07-24/roto_2026-13-45.zip": b"not a zip",
         "2026-07-23/vacio.zip": _zip({"nota.txt": "x"}),
     })
-    _write(tmp_path, "zips/sepa_2026-07-20.zip", outer)
-    _write(tmp_path, "zips/sepa_2026-07-21.zip", b"broken")
+    _write(tmp_path, "zips/feed_2026-07-20.zip", outer)
+    _write(tmp_path, "zips/feed_2026-07-21.zip", b"broken")
     files, rejects = archives.expand_archives(spark, str(tmp_path / "zips"))
     assert {(r["archivo"].rsplit("/")[-1], r["motivo"]) for r in rejects.collect()} == {
-        ("sepa_2026-07-21.zip", "corrupt archive"), ("sepa_2026-07-20.zip", "corrupt inner archive"),
+        ("feed_2026-07-21.zip", "corrupt archive"), ("feed_2026-07-20.zip", "corrupt inner archive"),
     }
     dates = archives.content_date(files.select("archivo", "paquete", "nombre").distinct()).collect()
     assert [str(r["fecha"]) for r in dates] == ["2026-07-24"]
