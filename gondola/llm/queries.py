@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gondola.llm import cost_packing
+from gondola.llm import cost_packing, rans_store
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,12 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cost_packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = rans_store.store_path(spark)
+    rans_store.write(table(spark, sf_dir, "documents"), path)
+    return rans_store.read(spark, path)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {k: v for k, v in globals().items() if k.startswith("op") and k[2:3].isdigit()}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
