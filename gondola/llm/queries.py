@@ -6,13 +6,30 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gondola.llm import cost_packing, rans_store
+from gondola.llm import cost_packing, host_reputation, quality_ledger, rans_store
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_ledger.apply_policy(quality_ledger.ledger(table(spark, sf_dir, "documents")))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        quality_ledger.rejected_by(quality_ledger.BASE).alias("base_failed"),
+        "kept", "n_capitals", "n_exclaims", "failed_bits",
+    )
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
+    judged = host_reputation.judge(pages, labels, host_reputation.RULES)
+    return judged.select(
+        "page_id", "host", "path", "rule", "verdict", "n_labels", "n_bad", "bad_mean", "bad_bound"
+    )
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cost_packing.pack(table(spark, sf_dir, "documents"))
 
