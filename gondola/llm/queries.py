@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gondola.llm import cost_packing, host_reputation, quality_ledger, rans_store
+from gondola.llm import cost_packing, host_reputation, html_subsequence, quality_ledger, rans_store
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +40,10 @@ def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans_store.read(spark, path)
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_subsequence.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {k: v for k, v in globals().items() if k.startswith("op") and k[2:3].isdigit()}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
