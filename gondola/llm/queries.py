@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gondola.llm import cost_packing, host_reputation, html_subsequence, quality_ledger, rans_store
+from gondola.llm import (
+    cost_packing, host_reputation, html_subsequence, quality_ledger, rans_store, simhash_index,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +36,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cost_packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_index.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = rans_store.store_path(spark)
     rans_store.write(table(spark, sf_dir, "documents"), path)
