@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gondola.llm import (
     cost_packing, host_reputation, html_subsequence, quality_ledger, rans_store, simhash_index,
+    winnow_contamination,
 )
 
 
@@ -46,6 +47,16 @@ def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans_store.read(spark, path)
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = winnow_contamination.annotate(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "contamination.n_words", "contamination.n_hit", "contamination.n_items",
+        F.sha2(F.array_join("contamination.item_ids", ","), 256).alias("items_sha256"),
+        (F.col("contamination.n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_subsequence.extract_pages(table(spark, sf_dir, "pages"))
 
