@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gondola.llm import (
     cost_packing, host_reputation, html_subsequence, quality_ledger, rans_store, simhash_index,
-    winnow_contamination,
+    weak_pii, winnow_contamination,
 )
 
 
@@ -47,6 +47,21 @@ def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans_store.read(spark, path)
 
 
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, _ = weak_pii.detect(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def count(kind: int):
+        of_kind = F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))
+        return F.size(of_kind).cast("long").alias(f"n_{weak_pii.KINDS[kind]}")
+
+    counts = map(count, range(len(weak_pii.KINDS)))
+    return found.select(
+        "doc_id", *counts, F.sha2(weak_pii.joined(base), 256).alias("base_sha256"),
+        weak_pii.joined(F.col("spans")).alias("spans"),
+    )
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = winnow_contamination.annotate(docs, table(spark, sf_dir, "benchmark"))
