@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gondola.llm import host_reputation, quality_ledger
+from gondola.llm import host_reputation, line_winnow, quality_ledger
 
 _WORD_SPACE = r"[ \t\n\x0B\f\r]+"
 
@@ -101,7 +101,39 @@ SELECT page_id, host, path, rule,
 FROM parts JOIN known USING (host) LEFT JOIN best USING (host, path)
 """
 
-SQL: dict[str, str] = {"op1_quality_rules": QUALITY, "op2_url_filter": URL}
+LINES = rf"""
+WITH split AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
+lines AS (
+  SELECT doc_id, unnest(ls) AS l, generate_subscripts(ls, 1) AS line FROM split
+),
+counted AS (
+  SELECT *, len(list_filter(string_split_regex(l, '{_WORD_SPACE}'), lambda x: x <> '')) AS n FROM lines
+),
+pairs AS (
+  SELECT doc_id, line, lead(line) OVER v AS line2, l || chr(10) || lead(l) OVER v AS content, n + lead(n) OVER v AS n
+  FROM counted WHERE n > 0 WINDOW v AS (PARTITION BY doc_id ORDER BY line)
+),
+windows AS (
+  SELECT doc_id, line, line2, content FROM pairs WHERE n >= {line_winnow.MIN_WORDS}
+  UNION ALL SELECT doc_id, line, line, l FROM counted WHERE n >= {line_winnow.LONG_WORDS}
+),
+later AS (
+  SELECT * FROM windows
+  QUALIFY row_number() OVER (PARTITION BY content ORDER BY doc_id, line) > 1
+),
+removed AS (SELECT doc_id, line FROM later UNION SELECT doc_id, line2 FROM later),
+texts AS (
+  SELECT doc_id, count(r.line) AS n_removed, string_agg(l, chr(10) ORDER BY line) FILTER (r.line IS NULL) AS text
+  FROM lines LEFT JOIN removed r USING (doc_id, line) GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_removed, 0)::BIGINT AS n_removed,
+  CASE WHEN d.text IS NOT NULL THEN coalesce(t.text, '') END AS text
+FROM documents d LEFT JOIN texts t USING (doc_id)
+"""
+
+SQL: dict[str, str] = {
+    "op1_quality_rules": QUALITY, "op2_url_filter": URL, "op9_line_dedup": LINES,
+}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gondola.llm import (
-    cost_packing, host_reputation, html_subsequence, quality_ledger, rans_store, simhash_index,
-    weak_pii, winnow_contamination,
+    cost_packing, host_reputation, html_subsequence, line_winnow, quality_ledger, rans_store,
+    simhash_index, weak_pii, winnow_contamination,
 )
 
 
@@ -72,6 +72,11 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_winnow.dedup_lines(docs).select("doc_id", "n_removed", "text")
+
+
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_subsequence.extract_pages(table(spark, sf_dir, "pages"))
 
