@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gondola.llm import (
-    cost_packing, host_reputation, html_subsequence, line_winnow, quality_ledger, rans_store,
+    chunk_dedup, cost_packing, host_reputation, html_subsequence, line_winnow, quality_ledger, rans_store,
     simhash_index, weak_pii, winnow_contamination,
 )
 
@@ -33,6 +33,11 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return chunk_dedup.dedup_substrings(docs).select("doc_id", "n_removed", "text")
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cost_packing.pack(table(spark, sf_dir, "documents"))
 

@@ -165,6 +165,17 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return chosen.mapInArrow(run, "doc_id long, fingerprint long")
 
 
+def _labelled(docs: DataFrame, shingle: int, max_bits: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, fingerprint) of every row, and (fingerprint, component_id) of every fingerprint."""
+    found = materialize(fingerprints(docs, shingle), "fingerprints")
+    distinct = materialize(found.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), "distinct")
+    linked = components(links(distinct.select("fingerprint"), max_bits))
+    rooted = distinct.join(linked.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
+    rooted = rooted.withColumn("root", F.coalesce("root", "fingerprint"))
+    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    return found, rooted.join(least, "root").select("fingerprint", "component_id")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """Per row of the documents: doc_id, fingerprint (16 hex digits), component_id, the smallest
     doc_id that links of at most `max_bits` differing bits lead to, itself included.
@@ -173,13 +184,30 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     any other. Rows with the same doc_id have a row each; null ids are never the smallest, and a
     component of null ids alone has a null id. An empty table gives no rows. An action: the
     fingerprints, links and rounds are written to the shared folder."""
-    found = materialize(fingerprints(docs, shingle), "fingerprints")
-    distinct = materialize(found.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), "distinct")
-    linked = components(links(distinct.select("fingerprint"), max_bits))
-    rooted = distinct.join(linked.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
-    rooted = rooted.withColumn("root", F.coalesce("root", "fingerprint"))
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    labels = rooted.join(least, "root").select("fingerprint", "component_id")
+    found, labels = _labelled(docs, shingle, max_bits)
     return found.join(labels, "fingerprint").select(
         "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def first_of_group(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """One document of each component: the row with the smallest doc_id, and of several rows with
+    that doc_id the first in order of text. Rows without a doc_id cannot be told apart by it:
+    all of them stay. An empty table gives no rows. An action.
+
+    The ids that stay are joined with the documents, which are shuffled once, by doc_id; only
+    rows whose id is not unique are compared by more than their id."""
+    found, labels = _labelled(docs, shingle, max_bits)
+    judged = found.join(labels, "fingerprint")
+    ids = materialize(
+        judged.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").count(), "kept-ids"
+    )
+    once = ids.where("count = 1").select("doc_id")
+    kept = docs.join(once, "doc_id", "left_semi").unionByName(docs.where("doc_id IS NULL"))
+    several = ids.where("count > 1").select("doc_id")
+    if not several.isEmpty():
+        order = F.struct("text", F.xxhash64(*docs.columns))
+        whole = F.min_by(F.struct(*docs.columns), order).alias("row")
+        repeated = docs.join(several, "doc_id", "left_semi").groupBy("doc_id").agg(whole)
+        kept = kept.unionByName(repeated.select("row.*"))
+    return kept.select(*docs.columns)

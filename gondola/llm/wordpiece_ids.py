@@ -12,11 +12,20 @@ import numpy as np
 
 DEFAULT_TOKENIZER = "word_bpe_49k.json"
 # Words remembered by a task (about 200 bytes each); further words are encoded each time.
-MAX_CACHED = 800_000
+MAX_CACHED = 400_000
 
 _encoders: dict[str, "Encoder"] = {}
 
 
+class _Known(dict):
+    """Remembered words, and in `extra` those of the batch at hand."""
+
+    extra: dict[bytes, bytes]
+
+    def __missing__(self, word: bytes) -> bytes:
+        return self.extra[word]
+
+
 def tokenizer_path(name: str = DEFAULT_TOKENIZER) -> str:
     import public_tokenizers
 
@@ -27,7 +36,7 @@ class Encoder:
     """Ids as little-endian unsigned 16-bit or, for larger vocabularies, 32-bit numbers."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
@@ -39,38 +48,59 @@ class Encoder:
         if mark:
             self.last[[i for token, i in vocab.items() if token.endswith(mark)]] = True
         self.by_word = bool(mark)
+        # For words of a to z the tokenizer's normalization changes nothing and white space
+        # alone splits them, so the merges can be asked for directly.
+        self.merges = Tokenizer(self.tokenizer.model)
+        self.merges.normalizer = normalizers.Sequence([])
+        self.merges.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        probe = ["abcdefghijklmnopqrstuvwxyz the cat sat"]
+        if self._batch(self.merges, probe) != self._batch(self.tokenizer, probe):
+            self.merges = self.tokenizer
         self.special = [t.encode() for t in vocab if t.startswith("<|")]
-        self.cache: dict[bytes, bytes] = {}
+        self.stops = {ord(c): self._whole(c) for c in ",."}
+        self.cache = _Known()
 
     def _whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, self.dtype).tobytes()
 
-    def _learn(self, words: list[bytes], known: dict[bytes, bytes]) -> None:
-        # Letters, or letters and one comma or full stop: one or two units of the merges.
-        units = {w: 1 + (w[-1:] in b",.") for w in words if w[:-1].decode("utf-8", "ignore").isalpha()
-                 and (w[-1:] in b",." or w.decode().isalpha())}
-        units |= {w: 1 for w in words if len(w) == 1 and w.isalpha()}
-        plain = list(units)
+    @staticmethod
+    def _batch(tokenizer, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, words: set[bytes], known: dict[bytes, bytes]) -> None:
+        """Adds the ids of the words. Letters are one unit of the merges, a comma or full stop
+        after them is the next."""
+        plain, letters, other, ended = set(), set(), [], []
+        for w in words:
+            stem = w[:-1] if w[-1] in self.stops else w
+            if stem.isalpha() and stem.islower():  # a to z
+                plain.add(stem)
+            elif stem.decode("utf-8", "ignore").isalpha():
+                letters.add(stem)
+            else:
+                other.append(w)
+                continue
+            if stem is not w:
+                ended.append(w)
+        self._learn_letters(self.merges, list(plain.difference(self.cache)), known)
+        self._learn_letters(self.tokenizer, list(letters.difference(self.cache)), known)
+        found = self._batch(self.tokenizer, [w.decode() for w in other])
+        known.update((w, np.array(ids, self.dtype).tobytes()) for w, ids in zip(other, found))
+        for w in ended:
+            known[w] = self.cache[w[:-1]] + self.stops[w[-1]]
+
+    def _learn_letters(self, tokenizer, words: list[bytes], known: dict[bytes, bytes]) -> None:
         width = self.dtype.itemsize
-        for k in range(0, len(plain), 4096):
-            part = plain[k : k + 4096]
-            joined = b" ".join(part).decode()
-            ids = np.array(
-                self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids,
-                self.dtype,
-            )
+        for k in range(0, len(words), 1024):
+            part = words[k : k + 1024]
+            ids = np.array(self._batch(tokenizer, [b" ".join(part).decode()])[0], self.dtype)
             ends = np.flatnonzero(self.last[ids]) + 1
-            at = np.cumsum([units[w] for w in part])
-            if len(ends) != at[-1]:  # a letter that becomes several units
+            if len(ends) != len(part):  # a letter that becomes several units
                 known.update((w, self._whole(w.decode())) for w in part)
                 continue
-            data, ends = ids.tobytes(), (ends[at - 1] * width).tolist()
-            known.update(
-                (w, data[i:j]) for w, i, j in zip(part, [0, *ends], ends)
-            )
-        for w in set(words).difference(plain):
-            known[w] = self._whole(w.decode())
+            data, ends = ids.tobytes(), (ends * width).tolist()
+            known.update((w, data[i:j]) for w, i, j in zip(part, [0, *ends], ends))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text, a null text having none."""
@@ -87,11 +117,11 @@ class Encoder:
                 data = data.lower()  # ASCII letters only
             split.append(data.split())
         known = self.cache
-        new = set().union(*split) - known.keys()
+        new = set().union(*split).difference(known)
         if new:
-            if len(known) + len(new) > MAX_CACHED:
-                known = {w: self.cache[w] for w in set().union(*split) - new}
-            self._learn(list(new), known)
+            full = len(known) + len(new) > MAX_CACHED
+            known.extra = {}
+            self._learn(new, known.extra if full else known)
         get = known.__getitem__
         out = [b"".join(map(get, words)) for words in split]
         for k, ids in whole.items():
