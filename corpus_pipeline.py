@@ -11,8 +11,7 @@ from gondola.sources.shared import materialize
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the ledger's policy keeps; null and empty texts have too few words."""
-    kept = quality_ledger.apply_policy(quality_ledger.ledger(docs))
-    return kept.where("kept").select(*docs.columns)
+    return quality_ledger.kept_rows(docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,8 +33,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that share no window of words with the benchmark."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    judged = winnow_contamination.annotate(docs, benchmark)
-    return judged.where(F.col("contamination.n_hit") == 0).select(*docs.columns)
+    judged = winnow_contamination.annotate(docs, benchmark, into="_contamination")
+    return judged.where(F.col("_contamination.n_hit") == 0).select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

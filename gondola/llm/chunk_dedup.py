@@ -132,19 +132,21 @@ def dedup_substrings(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     texts without repeats stay as they are. Rows that agree in doc_id and text are one place
     and keep or lose their chunks alike. A null doc_id comes before all others. An empty table
     gives no rows. A column of the documents named n_removed is replaced."""
-    marked = docs.drop("n_removed").withColumn("_hash", F.xxhash64("text"))
-    spans = repeats(docs).withColumnRenamed("doc_id", "_id")
+    names = [c for c in docs.columns if c != "n_removed"]
+    others = F.struct(*(c for c in names if c != "text")).alias("row")
+    marked = docs.select("doc_id", "text", F.xxhash64("text").alias("hash"), others)
+    spans = repeats(docs).withColumnRenamed("doc_id", "id")
     joined = marked.join(
-        spans, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("text_hash")), "left"
-    ).drop("_id", "_hash", "text_hash")
-    fields = joined.columns
-    at, last = fields.index("text"), len(fields) - 1
-    schema = T.StructType([*(joined.schema[c] for c in fields[:-1]), T.StructField("n_removed", T.LongType())])
+        spans, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("hash") == F.col("text_hash")), "left"
+    )
+    joined = joined.select(*(F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in names), "spans")
+    at = names.index("text")
+    schema = T.StructType([*joined.schema.fields[:-1], T.StructField("n_removed", T.LongType())])
 
     def run(frames):
         for frame in frames:
             texts, removed = frame.column(at).to_pylist(), []
-            for k, spans in enumerate(frame.column(last).to_pylist()):
+            for k, spans in enumerate(frame.column(len(names)).to_pylist()):
                 cut = runs([(s["start"], s["size"]) for s in spans or ()], min_run)
                 removed.append(sum(b - a for a, b in cut))
                 if cut:
@@ -152,8 +154,8 @@ def dedup_substrings(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
                     ends = [0, *(b for _, b in cut)]
                     starts = [*(a for a, _ in cut), len(data)]
                     texts[k] = b"".join(data[a:b] for a, b in zip(ends, starts)).decode("utf-8", "replace")
-            columns = [c for c in frame.columns[:-1]]
+            columns = frame.columns[:-1]
             columns[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(removed, pa.int64())], names=[*fields[:-1], "n_removed"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(removed, pa.int64())], names=[*names, "n_removed"])
 
     return joined.mapInArrow(run, schema)

@@ -129,6 +129,15 @@ def apply_policy(ledger: DataFrame, policy: tuple[str, int] = DEFAULT_POLICY) ->
     return ledger.withColumn("kept", ~rejected_by(POLICIES[policy]))
 
 
+def kept_rows(docs: DataFrame, policy: tuple[str, int] = DEFAULT_POLICY, text: str = "text") -> DataFrame:
+    """The documents that the policy keeps, without the ledger's columns. The verdict passes
+    through a generator, below which Spark pushes no filter: pushed into the measurements, it
+    would have them evaluated again within each other."""
+    whole = docs.select(F.col(text).alias("text"), F.struct("*").alias("row"))
+    verdict = apply_policy(ledger(whole), policy).select("row", F.explode(F.array("kept")).alias("kept"))
+    return verdict.where("kept").select("row.*")
+
+
 def ablation(ledger: DataFrame, policy: tuple[str, int] = DEFAULT_POLICY, rules=RULES) -> DataFrame:
     """Per rule of the policy: documents it fails, documents that it alone rejects (which
     leaving it out would keep), and the policy's rejections without it. One pass: the bits are

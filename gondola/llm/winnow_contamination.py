@@ -194,13 +194,13 @@ def merge(runs) -> list[tuple[int, int]]:
     return [tuple(x) for x in merged]
 
 
-def annotate(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram: int = GRAM, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The documents with `contamination`: n_words, n_hit (words inside a shared run of `span`
+def annotate(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram: int = GRAM, block_bytes: int = BLOCK_BYTES, into: str = "contamination") -> DataFrame:
+    """The documents with a column `into` of n_words, n_hit (words inside a shared run of `span`
     words, or inside a whole shorter item), n_items, item_ids (sorted) and hits (word ranges).
 
     Null and empty texts have no words. Items without words match nothing; items of the same
     id count once; a null id is the empty string. Repeated rows are judged each, an empty table
-    or benchmark gives no rows or no hits. A column of the documents named contamination is
+    or benchmark gives no rows or no hits. A column of the documents with that name is
     replaced. An action: the size of the benchmark is summed, and one block of its items after
     the other, each of about `block_bytes`, is sent to the tasks. With several blocks the
     hits of a row are merged as arrays of that row, in one narrow pass per block."""
@@ -212,13 +212,13 @@ def annotate(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram: int
     size = chosen.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-int(size) // block_bytes))
     place = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
-    out = docs.drop("contamination")
+    out = docs.drop(into)
     kinds = pa.struct([
         ("n_words", pa.int64()), ("n_hit", pa.int64()), ("n_items", pa.int64()), ("item_ids", pa.list_(pa.string())),
         ("hits", pa.list_(pa.struct([("first", pa.int64()), ("after", pa.int64())]))),
     ])
     fields = list(out.columns)
-    schema = T.StructType([*out.schema.fields, T.StructField("contamination", T.StructType.fromDDL(SCHEMA))])
+    schema = T.StructType([*out.schema.fields, T.StructField(into, T.StructType.fromDDL(SCHEMA))])
     at = fields.index("text")
     for block in range(blocks):
         rows = [tuple(r) for r in chosen.where(place == block).collect()]
@@ -239,7 +239,7 @@ def annotate(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram: int
                         for n, hit, c, names, runs in found
                     ], kinds)
                     columns = [*part.columns[: len(fields)], made]
-                    yield pa.RecordBatch.from_arrays(columns, names=[*fields, "contamination"])
+                    yield pa.RecordBatch.from_arrays(columns, names=[*fields, into])
 
         out = out.mapInArrow(run, schema)
     return out
