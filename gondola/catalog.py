@@ -313,8 +313,7 @@ def conteo_reglas(t: Tables) -> DataFrame:
 @query
 def dedupe(t: Tables) -> DataFrame:
     """The row kept of every listing of the clean adapter."""
-    annotated = quality.annotate_rules(t.clean)
-    return annotated.where(F.coalesce(F.col("descarte") != "duplicados", F.lit(True))).select(
+    return quality.keep_last(t.clean).select(
         "fecha", "id_comercio", "id_sucursal", "ean", "precio"
     )
 

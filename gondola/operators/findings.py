@@ -62,8 +62,12 @@ def basket_change(canasta: DataFrame) -> DataFrame:
 
 def findings(dispersion: DataFrame, canasta: DataFrame, n: int = 10) -> DataFrame:
     """The summary record: one row with nested fields, as written to JSON."""
+    # Ranked by the gaps before rounding, as the table is; at most n rows are numbered.
     top = top_dispersion(dispersion, n)
-    entry = F.struct(-F.col("gap_pct"), F.struct("*"))
+    widest = at_latest(dispersion).orderBy(F.desc("gap_pct"), "item", "provincia").limit(n)
+    exact = widest.select("item", "provincia", F.col("gap_pct").alias("_gap"))
+    top = top.join(exact, ["item", "provincia"])
+    entry = F.struct(-F.col("_gap"), "item", "provincia", F.struct(*[c for c in top.columns if c != "_gap"]).alias("col2"))
     listed = F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["col2"])
     now = basket_now(canasta)
     parts = [

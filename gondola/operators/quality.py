@@ -55,6 +55,20 @@ def repeated_listings(df: DataFrame) -> DataFrame:
     )
 
 
+def keep_last(df: DataFrame, cfg: Thresholds = DEFAULTS) -> DataFrame:
+    """Without the rows that a later one of the same listing replaces. Rows that a rule on
+    single rows discards are no listings: they neither replace nor go. One aggregation finds
+    the last position of each listing; rows and positions are joined once."""
+    rule = _row_rule(cfg)
+    last = (
+        df.where(rule.isNull()).groupBy(*[F.col(c).alias(f"_{c}") for c in LISTING])
+        .agg(F.max("orden").alias("_ultimo"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    )
+    joined = df.join(last, _same(df, last, LISTING) & rule.isNull(), "left")
+    older = F.coalesce(F.col("orden") < F.col("_ultimo"), F.lit(False))
+    return joined.where(~older).drop(*last.columns)
+
+
 def wide_medians(df: DataFrame, cfg: Thresholds = DEFAULTS) -> DataFrame:
     """_fecha, _ean, _mediana of the EANs and days that can hold an outlier (an action).
 
@@ -140,27 +154,39 @@ def rule_counts(annotated: DataFrame) -> DataFrame:
     return totals.select("fecha", F.inline(F.array(*entries)))
 
 
-def enforce_guardrail(
-    annotated: DataFrame, cfg: Thresholds = DEFAULTS, ignore: bool = False
-) -> DataFrame:
-    """Fail, showing examples, if a rule discards too much of what reached it (an action).
-    Returns the rule counts. With `ignore` the finding is only logged."""
+def excessive_discards(
+    annotated: DataFrame, cfg: Thresholds = DEFAULTS
+) -> tuple[DataFrame, list[tuple[object, str]]]:
+    """The rule counts, and of each day where a rule discards too much of what reached it, the
+    day and a message with the first such rule and examples (an action). A day is a partition
+    of the tables, so there are few."""
     counts = materialize(rule_counts(annotated), "rule-counts")
+    order = F.array_position(F.array(*map(F.lit, RULES)), F.col("regla"))
     worst = (
         counts.where(F.col("descarta") > cfg.max_discard_share * F.col("llegan"))
-        .orderBy("fecha").limit(1).collect()
+        .groupBy("fecha").agg(F.min_by(F.struct("*"), order).alias("r")).select("r.*").orderBy("fecha").collect()
     )
-    if worst:
-        row = worst[0]
-        shown = [c for c in SAMPLE_COLUMNS if c in annotated.columns]
+    shown = [c for c in SAMPLE_COLUMNS if c in annotated.columns]
+    messages = []
+    for row in worst:
         sample = (
             annotated.where((F.col("fecha") == row["fecha"]) & (F.col("descarte") == row["regla"]))
             .select(*shown).limit(SAMPLE_ROWS).collect() if shown else []
         )
-        message = (
+        messages.append((row["fecha"], (
             f"rule '{row['regla']}' discards {row['descarta']:,} of {row['llegan']:,} rows "
             f"of {row['fecha']}; examples: {[tuple(r) for r in sample]}"
-        )
+        )))
+    return counts, messages
+
+
+def enforce_guardrail(
+    annotated: DataFrame, cfg: Thresholds = DEFAULTS, ignore: bool = False
+) -> DataFrame:
+    """Fail, showing examples, if a rule discards too much of what reached it (an action).
+    Returns the rule counts. With `ignore` the finding is only logged."""
+    counts, messages = excessive_discards(annotated, cfg)
+    for _, message in messages:
         if not ignore:
             raise ExcessiveDiscard(message)
         log.warning(message)

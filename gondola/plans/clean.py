@@ -2,18 +2,26 @@
 
 from __future__ import annotations
 
+import logging
+from collections.abc import Sequence
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gondola.config import CLEAN_COLUMNS, CLEAN_EXTRAS, DEFAULTS, Thresholds
 from gondola.functions.text import desc_norm, ean_norm, to_number
 from gondola.operators.enrich import enrich
-from gondola.operators.quality import annotate_rules, enforce_guardrail, kept, quality_metrics
+from gondola.operators.quality import (
+    ExcessiveDiscard, annotate_rules, excessive_discards, kept, quality_metrics,
+)
 from gondola.operators.texts import text_dictionary, unit_dictionary, with_size
 from gondola.sources.landing import discover
 from gondola.sources.raw import read_role
-from gondola.sources.shared import materialize
+from gondola.sources.shared import intermediate, materialize
 from gondola.sources.tables import pending, upsert_quality, write_clean
 
+log = logging.getLogger(__name__)
+
 
 def typed(productos: DataFrame) -> DataFrame:
     """The raw text columns as values: precio, ean, descripcion. The code is in id_producto;
@@ -54,20 +62,36 @@ def clean_days(
     force: bool = False,
     ignore_guardrail: bool = False,
     cfg: Thresholds = DEFAULTS,
+    days: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Clean every day of the landing area that `out/precios` lacks (all when forced), write
-    it and its quality record, and return the rejected files. All pending days go through one
-    plan; each is replaced as a whole, so a repeated run gives the same tables."""
+    """Clean every day of the landing area that `out/precios` lacks (all when forced; of `days`
+    only, if given), write it and its quality record, and return the rejected files. All days
+    go through one plan; each is replaced as a whole, so a repeated run gives the same tables.
+
+    Days on which a rule discards too much are not written; after the others are, they are
+    raised together, unless the guardrail is to be ignored. Intermediate tables are removed."""
     table = f"{out}/precios"
-    files = materialize(pending(discover(spark, landing), table, force), "files")
-    read = {role: read_role(spark, role, landing, files) for role in ("productos", "sucursales", "comercio")}
-    # Stored with its rejected rows: the guardrail, the clean table and the quality record all
-    # read it, and none of them repeats a join.
-    audited = materialize(
-        audit(read["productos"][0], read["sucursales"][0], read["comercio"][0], cfg), "audited"
-    )
-    enforce_guardrail(audited, cfg, ignore_guardrail)
-    write_clean(clean_rows(audited), table)
-    upsert_quality(quality_metrics(audited, cfg), f"{out}/calidad")
+    with intermediate(spark):
+        found = discover(spark, landing)
+        if days is not None:
+            found = found.where(F.col("fecha").isin([date.fromisoformat(str(d)) for d in days]))
+        files = materialize(pending(found, table, force), "files")
+        read = {role: read_role(spark, role, landing, files) for role in ("productos", "sucursales", "comercio")}
+        # Stored with its rejected rows: the guardrail, the clean table and the quality record
+        # all read it, and none of them repeats a join.
+        audited = materialize(
+            audit(read["productos"][0], read["sucursales"][0], read["comercio"][0], cfg), "audited"
+        )
+        _, excessive = excessive_discards(audited, cfg)
+        if excessive and not ignore_guardrail:
+            passed = audited.where(~F.col("fecha").isin([day for day, _ in excessive]))
+        else:
+            passed = audited
+        write_clean(clean_rows(passed), table)
+        upsert_quality(quality_metrics(passed, cfg), f"{out}/calidad")
+    for _, message in excessive:
+        log.warning(message)
+    if excessive and not ignore_guardrail:
+        raise ExcessiveDiscard("; ".join(message for _, message in excessive))
     rejects = [rejected for _, rejected in read.values()]
     return rejects[0].union(rejects[1]).union(rejects[2])

@@ -8,8 +8,11 @@ written by Spark as `fecha=…/paquete=…/rol=…/pieza=…/` folders, which `l
 from __future__ import annotations
 
 import io
+import struct
 import sys
+import uuid
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -29,25 +32,26 @@ _LINES = (
     "archivo string, paquete string, nombre string, parte long, texto string, motivo string"
 )
 _COLUMNS = ["archivo", "paquete", "nombre", "parte", "texto", "motivo"]
+_INNER_COLUMNS = ["archivo", "paquete", "contenido", "motivo"]
+# What reading a member can raise: structure, checksum, stream, encryption, unknown method.
+_UNREADABLE = (zipfile.BadZipFile, zlib.error, EOFError, OSError, RuntimeError, NotImplementedError, struct.error)
 
 
 def _outer_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One row per inner archive, or one row with the reason the outer one cannot be read."""
+    """One row per inner archive, and one with the reason if any part cannot be read."""
+
+    def row(*values):
+        return pd.DataFrame([values], columns=["archivo", "paquete", "contenido", "motivo"])
+
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"]):
             try:
                 outer = zipfile.ZipFile(io.BytesIO(content))
                 for name in outer.namelist():
                     if name.lower().endswith((".zip", ".csv")):
-                        yield pd.DataFrame(
-                            [(path, name, outer.read(name), None)],
-                            columns=["archivo", "paquete", "contenido", "motivo"],
-                        )
-            except zipfile.BadZipFile:
-                yield pd.DataFrame(
-                    [(path, None, None, "corrupt archive")],
-                    columns=["archivo", "paquete", "contenido", "motivo"],
-                )
+                        yield row(path, name, outer.read(name), None)
+            except _UNREADABLE as error:
+                yield row(path, None, None, f"corrupt archive: {error}")
 
 
 def _chunks(stream) -> Iterator[str]:
@@ -76,8 +80,16 @@ def _file_rows(archive: str, package: str, name: str, stream) -> Iterator[pd.Dat
 
 
 def _inner_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The chunks of all packed files; failures as rows with a reason, passed on or new."""
+
+    def failed(archive, package, reason):
+        return pd.DataFrame([(archive, package, None, None, None, reason)], columns=_COLUMNS)
+
     for batch in batches:
-        for archive, package, content in zip(batch["archivo"], batch["paquete"], batch["contenido"]):
+        for archive, package, content, reason in batch[_INNER_COLUMNS].itertuples(index=False):
+            if reason is not None:
+                yield failed(archive, package, reason)
+                continue
             if package.lower().endswith(".csv"):
                 yield from _file_rows(archive, "", package, io.BytesIO(content))
                 continue
@@ -87,43 +99,50 @@ def _inner_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     if name.lower().endswith(".csv"):
                         with inner.open(name) as stream:
                             yield from _file_rows(archive, package, name, stream)
-            except zipfile.BadZipFile:
-                yield pd.DataFrame(
-                    [(archive, package, None, None, None, "corrupt inner archive")],
-                    columns=_COLUMNS,
-                )
+            except _UNREADABLE as error:
+                yield failed(archive, package, f"corrupt inner archive: {error}")
 
 
 def expand_archives(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     """(files, rejects) of the daily archives below `root`: files has archivo, paquete, nombre,
-    parte, texto; rejects has archivo, paquete, motivo. Archives must be below 2 GB."""
-    outer = (
+    parte, texto; rejects has archivo, paquete, nombre, motivo (an action).
+
+    Everything is unpacked once, into one stored table. A checksum is known only at the end of
+    a member, when parts of it have gone out already; so whatever belongs to an archive or
+    package that failed anywhere is taken out afterwards. Archives must be below 2 GB, Spark's
+    limit for a binary file; a larger one ends the job with an error."""
+    unpacked = materialize(
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.zip").load(root)
         .select("path", "content")
         .mapInPandas(_outer_members, _INNER)
-    )
-    lines = (
-        outer.where(F.col("motivo").isNull())
         .repartition("archivo", "paquete")
-        .mapInPandas(_inner_lines, _LINES)
+        .mapInPandas(_inner_lines, _LINES),
+        "unpacked",
     )
-    rejects = outer.where(F.col("motivo").isNotNull()).select("archivo", "paquete", "motivo").union(
-        lines.where(F.col("motivo").isNotNull()).select("archivo", "paquete", "motivo")
+    bad = F.col("motivo").isNotNull()
+    rejects = unpacked.where(bad).select("archivo", "paquete", "nombre", "motivo")
+    archives = rejects.where(F.col("paquete").isNull()).select("archivo").distinct()
+    packages = rejects.where(F.col("paquete").isNotNull()).select("archivo", "paquete").distinct()
+    files = (
+        unpacked.where(~bad).drop("motivo")
+        .join(archives, "archivo", "left_anti").join(packages, ["archivo", "paquete"], "left_anti")
     )
-    return lines.where(F.col("motivo").isNull()).drop("motivo"), rejects
+    return files, rejects
 
 
 def content_date(names: DataFrame) -> DataFrame:
     """archivo, fecha: the date found most often in the packed names of an archive (the latest
-    on ties), else the one in the archive's own name."""
+    on ties), each package and each file counting once, else the one in the archive's own name;
+    null where neither has one."""
     def date_in(column: str):
         parts = [F.regexp_extract(column, DATE, group) for group in (1, 2, 3)]
         return F.try_to_date(F.nullif(F.concat_ws("-", *parts), F.lit("--")))
 
-    dated = names.select("archivo", F.explode(F.array("paquete", "nombre")).alias("n")).select(
-        "archivo", date_in("n").alias("fecha")
-    )
+    last = F.substring_index("n", "/", -1)
+    packages = names.select("archivo", "paquete", F.col("paquete").alias("n")).distinct().select("archivo", last.alias("n"))
+    files = names.select("archivo", "paquete", "nombre").distinct().select("archivo", F.substring_index("nombre", "/", -1).alias("n"))
+    dated = packages.union(files).select("archivo", date_in("n").alias("fecha"))
     votes = dated.groupBy("archivo", "fecha").agg(F.count("fecha").alias("votos"))
     return votes.groupBy("archivo").agg(
         F.coalesce(
@@ -133,32 +152,64 @@ def content_date(names: DataFrame) -> DataFrame:
     )
 
 
+def _replace_days(spark: SparkSession, staged: str, out: str) -> None:
+    """Put each staged day in the place of the day stored before, if any."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    target = hadoop.Path(out)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(target)
+    for status in system.listStatus(hadoop.Path(staged)):
+        if status.isDirectory():
+            day = hadoop.Path(target, status.getPath().getName())
+            system.delete(day, True)
+            system.rename(status.getPath(), day)
+    system.delete(hadoop.Path(staged), True)
+
+
 def unpack(spark: SparkSession, root: str, out: str) -> DataFrame:
-    """Write the packed CSV files as a landing area and return the rejects (an action)."""
-    files, rejects = expand_archives(spark, root)
-    files = materialize(files, "unpacked")
-    rejects = materialize(rejects, "rejected-archives")
-    dates = materialize(
-        content_date(files.select("archivo", "paquete", "nombre").distinct()), "archive-dates"
+    """Write the packed CSV files as a landing area and return what was left out, each with its
+    reason: archivo, paquete, nombre, motivo (an action).
+
+    Of several archives with one content date the one whose path comes last is taken, and its
+    day replaces the day stored before as a whole. Files keep the archive and their full name
+    apart by a hash, so that names which differ in odd characters only do not meet."""
+    files, failed = expand_archives(spark, root)
+    names = materialize(files.select("archivo", "paquete", "nombre").distinct(), "packed-names")
+    dates = materialize(content_date(names), "archive-dates")
+    chosen = dates.where(F.col("fecha").isNotNull()).groupBy("fecha").agg(F.max("archivo").alias("archivo"))
+    role = role_of(F.substring_index("nombre", "/", -1))
+    judged = names.join(dates, "archivo").join(
+        chosen.select("archivo", F.lit(True).alias("_chosen")), "archivo", "left"
+    )
+    reason = (
+        F.when(F.col("fecha").isNull(), "no content date")
+        .when(F.col("_chosen").isNull(), "another archive has the same content date")
+        .when(role.isNull(), "unknown role")
+    )
+    rejects = materialize(
+        failed.union(judged.where(reason.isNotNull()).select("archivo", "paquete", "nombre", reason)),
+        "rejected-archives",
     )
     label = F.concat_ws("/", "paquete", "nombre")
     laid = (
-        files.join(dates, "archivo")
+        files.join(chosen, "archivo")
         .select(
             "fecha",
-            F.regexp_replace(label, r"[^A-Za-z0-9-]+", "_").alias("paquete"),
-            role_of(F.substring_index("nombre", "/", -1)).alias("rol"),
+            F.concat_ws(
+                "_", F.regexp_replace(label, r"[^A-Za-z0-9-]+", "_"), F.hex(F.xxhash64("archivo", "paquete", "nombre"))
+            ).alias("paquete"),
+            role.alias("rol"),
             F.format_string("%06d", F.floor(F.col("parte") / PIECE_CHUNKS)).alias("pieza"),
             "parte", "texto",
         )
-        .where(F.col("rol").isNotNull() & F.col("fecha").isNotNull())
+        .where(F.col("rol").isNotNull())
         .repartition("fecha", "paquete", "rol", "pieza")
         .sortWithinPartitions("fecha", "paquete", "rol", "pieza", "parte")
         .drop("parte")
     )
-    laid.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        "fecha", "paquete", "rol", "pieza"
-    ).format("text").save(out)
+    staged = f"{out.rstrip('/')}/_staged-{uuid.uuid4().hex}"
+    laid.write.partitionBy("fecha", "paquete", "rol", "pieza").format("text").save(staged)
+    _replace_days(spark, staged, out)
     return rejects
 
 

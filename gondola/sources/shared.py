@@ -8,10 +8,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folder: str | None = None
+_scopes: list[list[str]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -29,7 +32,23 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/gondola/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/gondola/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def intermediate(spark: SparkSession) -> Iterator[None]:
+    """Tables written within are removed at the end, also after a failure. For jobs whose
+    result does not read them any more."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for name in _scopes.pop():
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -111,7 +111,7 @@ def test_archives(spark, tmp_path, monkeypatch):
     _write(tmp_path, "zips/feed_2026-07-20.zip", outer)
     _write(tmp_path, "zips/feed_2026-07-21.zip", b"broken")
     files, rejects = archives.expand_archives(spark, str(tmp_path / "zips"))
-    assert {(r["archivo"].rsplit("/")[-1], r["motivo"]) for r in rejects.collect()} == {
+    assert {(r["archivo"].rsplit("/")[-1], r["motivo"].split(":")[0]) for r in rejects.collect()} == {
         ("feed_2026-07-21.zip", "corrupt archive"), ("feed_2026-07-20.zip", "corrupt inner archive"),
     }
     dates = archives.content_date(files.select("archivo", "paquete", "nombre").distinct()).collect()
@@ -123,3 +123,49 @@ def test_archives(spark, tmp_path, monkeypatch):
     got = [(r["id_producto"], r["productos_precio_lista"]) for r in rows.orderBy("orden").collect()]
     assert got == [(str(n), f"{n},50") for n in range(1000, 1040)]
     assert rows.select(F.countDistinct("orden.archivo")).first()[0] > 1
+
+
+def _day(count, name="productos.csv", first=1000):
+    lines = [CORE] + [f"1|10|{n}|TEXTO {n}|{n}" for n in range(first, first + count)]
+    return _zip({name: "\n".join(lines)})
+
+
+def _codes(spark, out):
+    rows, _ = raw.read_role(spark, "productos", out)
+    return sorted(int(r["id_producto"]) for r in rows.collect())
+
+
+def _spoiled(data, mark):
+    """The archive with a byte of one member changed, so that its checksum fails."""
+    at = data.index(mark) + len(mark) + 20
+    return data[:at] + bytes([data[at] ^ 255]) + data[at + 1 :]
+
+
+def test_one_archive_of_a_day_and_repeated_runs(spark, tmp_path):
+    zips, out = str(tmp_path / "zips"), str(tmp_path / "landing")
+    _write(tmp_path, "zips/a.zip", _zip({"2026-07-24/x é.zip": _day(10), "2026-07-24/x è.zip": _day(10, first=2000)}))
+    _write(tmp_path, "zips/b.zip", _zip({"2026-07-24/x_2026-07-24.zip": _day(7, first=500)}))
+    _write(tmp_path, "zips/undated.zip", _zip({"x.zip": _day(3), "otros.csv": "a"}))
+    _write(tmp_path, "zips/z_2026-07-25.zip", _zip({"y.zip": _day(4, "nada.csv")}))
+    rejects = archives.unpack(spark, zips, out).collect()
+    # The dates of folders inside an archive's names count by their last part only.
+    assert _codes(spark, out) == list(range(500, 507))
+    reasons = {(r["archivo"].rsplit("/")[-1], r["motivo"]) for r in rejects}
+    assert ("undated.zip", "no content date") in reasons and ("z_2026-07-25.zip", "unknown role") in reasons
+    _write(tmp_path, "zips/c_2026-07-24.zip", _zip({"x é.zip": _day(2), "x è.zip": _day(2, first=2000)}))
+    rejects = archives.unpack(spark, zips, out).collect()
+    assert _codes(spark, out) == [1000, 1001, 2000, 2001]
+    assert ("b.zip", "another archive has the same content date") in {(r["archivo"].rsplit("/")[-1], r["motivo"]) for r in rejects}
+
+
+def test_failing_checksums_reject_the_whole(spark, tmp_path):
+    good, bad_inner = _day(5), _spoiled(_day(3000, first=9000), b"productos.csv")
+    _write(tmp_path, "zips/a_2026-07-24.zip", _zip({"g.zip": good, "h.zip": bad_inner}))
+    outer = _zip({"g.zip": good, "k.zip": _zip({"productos.csv": CORE + "\n" + "1|1|7|T|1\n" * 5000})})
+    _write(tmp_path, "zips/b_2026-07-25.zip", _spoiled(outer, b"k.zip"))
+    out = str(tmp_path / "landing")
+    rejects = archives.unpack(spark, str(tmp_path / "zips"), out).collect()
+    assert _codes(spark, out) == list(range(1000, 1005))
+    assert {(r["archivo"].rsplit("/")[-1], r["paquete"], r["motivo"].split(":")[0]) for r in rejects} == {
+        ("a_2026-07-24.zip", "h.zip", "corrupt inner archive"), ("b_2026-07-25.zip", None, "corrupt archive"),
+    }
