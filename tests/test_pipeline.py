@@ -12,6 +12,7 @@ from gondola import catalog
 from gondola.operators import checks, compare, texts
 from gondola.plans import clean as clean_plan, star as star_plan
 from gondola.sources import tables
+from oracle import sql
 
 
 def test_pipeline(spark, sf, tmp_path):
@@ -74,8 +75,8 @@ STAR = {
 }
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_oracle(spark, sf, name):
     if name in STAR:
         sf = sf.replace("sf0.001", "sf0.01")
-    assert spark_rows(entry.queries()[name](spark, sf)) == oracle_rows(sf, entry.oracle_sql()[name])
+    assert spark_rows(catalog.queries()[name](spark, sf)) == oracle_rows(sf, sql.oracle_sql()[name])
