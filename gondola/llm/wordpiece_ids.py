@@ -1,8 +1,8 @@
 """Token ids of whole texts with a public tokenizer of the `tokenizers` library.
 
 Byte-pair merges never cross white space, so a text's ids are the ids of its words in order.
-Each task keeps the ids of the words it has met (a bounded dictionary) and gives the library
-the others only, many at a time. Texts where lower-casing first could change the result
+Each task keeps the ids of the words it has met lately (a bounded dictionary) and gives the
+library the others only, many at a time. Texts where lower-casing first could change the result
 (combining marks, special tokens) go to the library word by word as they stand, or whole.
 """
 
@@ -11,19 +11,27 @@ from __future__ import annotations
 import numpy as np
 
 DEFAULT_TOKENIZER = "word_bpe_49k.json"
-# Words remembered by a task (about 200 bytes each); further words are encoded each time.
-MAX_CACHED = 400_000
+# Words of each of the two generations that a task remembers (about 200 bytes a word).
+MAX_CACHED = 250_000
 
 _encoders: dict[str, "Encoder"] = {}
 
 
 class _Known(dict):
-    """Remembered words, and in `extra` those of the batch at hand."""
+    """Ids of remembered words. A full generation becomes the old one; words of the old one that
+    are met again move on, the others go with it when the next is full."""
 
-    extra: dict[bytes, bytes]
+    old: dict[bytes, bytes] = {}
 
     def __missing__(self, word: bytes) -> bytes:
-        return self.extra[word]
+        ids = self[word] = self.old[word]
+        return ids
+
+    def aged(self) -> "_Known":
+        self.old = {}
+        young = _Known()
+        young.old = self
+        return young
 
 
 def tokenizer_path(name: str = DEFAULT_TOKENIZER) -> str:
@@ -68,7 +76,7 @@ class Encoder:
     def _batch(tokenizer, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, words: set[bytes], known: dict[bytes, bytes]) -> None:
+    def _learn(self, words: set[bytes], known: _Known) -> None:
         """Adds the ids of the words. Letters are one unit of the merges, a comma or full stop
         after them is the next."""
         plain, letters, other, ended = set(), set(), [], []
@@ -83,12 +91,12 @@ class Encoder:
                 continue
             if stem is not w:
                 ended.append(w)
-        self._learn_letters(self.merges, list(plain.difference(self.cache)), known)
-        self._learn_letters(self.tokenizer, list(letters.difference(self.cache)), known)
+        self._learn_letters(self.merges, list(plain.difference(known).difference(known.old)), known)
+        self._learn_letters(self.tokenizer, list(letters.difference(known).difference(known.old)), known)
         found = self._batch(self.tokenizer, [w.decode() for w in other])
         known.update((w, np.array(ids, self.dtype).tobytes()) for w, ids in zip(other, found))
         for w in ended:
-            known[w] = self.cache[w[:-1]] + self.stops[w[-1]]
+            known[w] = known[w[:-1]] + self.stops[w[-1]]
 
     def _learn_letters(self, tokenizer, words: list[bytes], known: dict[bytes, bytes]) -> None:
         width = self.dtype.itemsize
@@ -116,12 +124,12 @@ class Encoder:
             if b"\xcc" not in data and b"\xcd" not in data:  # no combining marks
                 data = data.lower()  # ASCII letters only
             split.append(data.split())
+        if len(self.cache) > MAX_CACHED:
+            self.cache = self.cache.aged()
         known = self.cache
-        new = set().union(*split).difference(known)
+        new = set().union(*split).difference(known).difference(known.old)
         if new:
-            full = len(known) + len(new) > MAX_CACHED
-            known.extra = {}
-            self._learn(new, known.extra if full else known)
+            self._learn(new, known)
         get = known.__getitem__
         out = [b"".join(map(get, words)) for words in split]
         for k, ids in whole.items():
