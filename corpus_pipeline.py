@@ -15,9 +15,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without later repeats of runs of lines. `n_chars` follows the text. One
+    """All documents, without later repeats of runs of lines, short lines too. `n_chars` follows the text. One
     that repeats earlier lines throughout stays with an empty text."""
-    cleaned = line_winnow.dedup_lines(docs)
+    cleaned = line_winnow.dedup_lines(docs, whole_runs=True)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         changed = F.when(F.col("n_removed") > 0, F.length("text").cast(kind))

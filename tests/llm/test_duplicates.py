@@ -6,6 +6,7 @@ from itertools import combinations
 import numpy as np
 import xxhash
 
+import corpus_pipeline
 from gondola.llm import chunk_dedup, line_winnow, simhash_index as si
 from gondola.llm.components import components
 from helpers import WORD, docs, edge_texts, lower, prose
@@ -115,6 +116,47 @@ def test_lines_against_brute_force(spark):
     assert rows[0].removed == 1 and rows[0].hash == 2 and len(rows) == len(texts)
 
 
+def naive_runs(rows, span=2, min_words=10, long_words=50):
+    """All runs of any length are compared: the longest shared with an earlier place goes."""
+    seen, out = set(), {}
+    for i, text in sorted(rows):
+        lines = text.split("\n")
+        words = [len(WORD.findall(x)) for x in lines]
+        full = [k for k, n in enumerate(words) if n]
+        gone = set()
+        for a in range(len(full)):
+            for b in range(a + 1, len(full) + 1):
+                run = full[a:b]
+                least = long_words if len(run) < span else min_words
+                if sum(words[k] for k in run) >= least:
+                    content = tuple(lines[k] for k in run)
+                    gone |= set(run) if content in seen else set()
+                    seen.add(content)
+        out[i] = (len(gone), "\n".join(x for k, x in enumerate(lines) if k not in gone))
+    return out
+
+
+def test_whole_runs_of_short_lines(spark):
+    rng = random.Random(19)
+    verse = "\n".join(prose(rng, 1 + k % 4) for k in range(40))
+    texts = [prose(rng, 20) + "\n" + verse + "\n" + prose(rng, 20), verse + "\n" + prose(rng, 20), "x\n" + verse + "\ny"]
+    rows = {r.doc_id: r for r in line_winnow.dedup_lines(docs(spark, texts), whole_runs=True).collect()}
+    assert rows[0].text == texts[0] and rows[1].text == texts[1].split("\n")[-1] and rows[2].text == "x\ny"
+    pool = [prose(rng, rng.choice([1, 2, 3, 4, 9, 60])) for _ in range(6)] + ["", " "]
+    texts = ["\n".join(rng.choice(pool) for _ in range(rng.randint(0, 16))) for _ in range(40)]
+    rows = line_winnow.dedup_lines(docs(spark, texts), whole_runs=True).collect()
+    assert {r.doc_id: (r.n_removed, r.text) for r in rows} == naive_runs(list(enumerate(texts)))
+
+
+def test_pipeline_deletes_repeats_in_short_lines(spark):
+    rng = random.Random(20)
+    verse = "\n".join(prose(rng, 3) for _ in range(30))
+    own = [prose(rng, 30) for _ in range(2)]
+    table = docs(spark, [own[0] + "\n" + verse, verse + "\n" + own[1]])
+    rows = {r.doc_id: r for r in corpus_pipeline.line_dedup(spark, table, "").collect()}
+    assert rows[0].text.endswith(verse) and rows[1].text == own[1] and rows[1].n_chars == len(own[1])
+
+
 def test_lines_nulls_and_repeated_rows(spark):
     text = "\n".join(f"line {k} of a text that has words enough" for k in range(5))
     rows = line_winnow.dedup_lines(docs(spark, [text, text, text, None], [1, 1, 2, None])).collect()
