@@ -11,9 +11,11 @@ class, id and role; what they hold neither scores nor appears, so they may inter
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from html import unescape
+from itertools import accumulate
 from math import log
 
 import pyarrow as pa
@@ -38,6 +40,29 @@ BOILERPLATE = frozenset(
     "modal overlay newsletter subscribe subscription signup login search pagination pager "
     "copyright legal disclaimer complementary contentinfo toolbar skip".split()
 )
+# Start tags that imply an end: of which elements, and within what.
+P, CELL = frozenset({"p"}), frozenset({"td", "th", "caption"})
+P_BOUNDS = CELL | frozenset("table button object template".split())
+ENDS_P = frozenset(
+    "address article aside blockquote center dd details dialog div dl dt fieldset figcaption figure "
+    "footer form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre search section summary table ul".split()
+)
+TABLE_PARTS = frozenset("table caption colgroup thead tbody tfoot tr td th".split())
+_TABLE, _LISTS = frozenset({"table"}), frozenset("ul ol menu table".split()) | CELL
+_SECTIONS = frozenset("thead tbody tfoot tr".split()) | CELL
+IMPLIED = {
+    "li": (frozenset({"li"}), _LISTS),
+    "dt": (frozenset({"dt", "dd"}), frozenset({"dl"}) | _LISTS),
+    "dd": (frozenset({"dt", "dd"}), frozenset({"dl"}) | _LISTS),
+    "option": (frozenset({"option"}), frozenset({"select"})),
+    "optgroup": (frozenset({"option", "optgroup"}), frozenset({"select"})),
+    "td": (CELL, _TABLE | {"tr"}),
+    "th": (CELL, _TABLE | {"tr"}),
+    "tr": (frozenset({"tr"}) | CELL, _TABLE),
+    "thead": (_SECTIONS, _TABLE),
+    "tbody": (_SECTIONS, _TABLE),
+    "tfoot": (_SECTIONS, _TABLE),
+}
 _MARKUP = re.compile(
     r"<!--(?:.*?-->|.*\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|"
     r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
@@ -62,39 +87,132 @@ def _is_boilerplate(name: str, attributes: str) -> bool:
     return False
 
 
-def tokens(page: str) -> Iterator[tuple[str, str, str | None, bool]]:
-    """(kind, feature, text, in article) in page order; kind is 'tag', 'break' (a block starts or
-    ends), 'space' or 'text'. Nothing comes from dropped elements but their tags."""
-    at, end = 0, len(page)
-    inside = 0  # depth in article elements
-    held: list[str] = []  # open elements of the dropped one, which is the first
-    context = "body"
+def _events(page: str) -> list[tuple[str | None, bool, str, int, int]]:
+    """(name, closing, attributes, start, end) of every tag, and with no name of every text;
+    without comments and raw text."""
+    out, at, end = [], 0, len(page)
     while at < end:
         m = _MARKUP.search(page, at)
-        if not held and (stop := m.start() if m else end) > at:
-            text = unescape(page[at:stop])
-            yield "text", "word:" + context, text, inside > 0
+        if (stop := m.start() if m else end) > at:
+            out.append((None, False, "", at, stop))
         if not m:
-            return
+            break
         at = m.end()
-        if not m[2]:
-            continue
-        closing, name, attributes = m[1] == "/", m[2].lower(), m[3]
-        if held:
-            # Only elements of the dropped one's name are counted to find its end.
-            if name == held[0] and not attributes.endswith("/"):
-                held.pop() if closing else held.append(name)
-            if name in RAW and not closing:
+        if m[2]:
+            name = m[2].lower()
+            out.append((name, m[1] == "/", m[3], m.start(), at))
+            if name in RAW and m[1] != "/":
                 at = _raw_end(page, at, name)
-            if not held:
+    return out
+
+
+def _innermost(stack: list, name: str) -> int | None:
+    """The place of the open element that this end tag ends; it ends those within it, too. An
+    inline one does not reach out of its block, others not out of a table's cell."""
+    for j in range(len(stack) - 1, -1, -1):
+        other = stack[j][0]
+        if other == name:
+            return j
+        if name in INLINE and other not in INLINE or other in CELL and name not in TABLE_PARTS or other == "table":
+            return None
+    return None
+
+
+def _outermost(stack: list, names: frozenset, bounds: frozenset) -> int | None:
+    """The place of the outermost element of these names within the nearest bound."""
+    found = None
+    for j in range(len(stack) - 1, -1, -1):
+        if stack[j][0] in bounds:
+            break
+        if stack[j][0] in names:
+            found = j
+    return found
+
+
+def _dropped(page: str, events: list) -> dict[int, int]:
+    """Where dropped elements begin -> where they end, as places in `events`.
+
+    An element ends by its end tag, an implied one, or its parent's. One without an end tag of
+    its own also ends where an article or main begins. Names in a class, and a form, say nothing
+    against an element that holds all articles and mains of the page, or, where there are none,
+    most of its words; nor does any name for one without an end tag."""
+    stack: list[tuple[str, int, bool]] = []  # name, place, boilerplate
+    n_open: Counter = Counter()
+    ended: list[tuple[int, int, bool]] = []
+    unended: dict[str, list[tuple[int, int]]] = {}
+    marks = [k for k, e in enumerate(events) if e[0] in ("article", "main") and not e[1]]
+
+    def end(j: int | None, k: int, own: bool) -> None:
+        while j is not None and len(stack) > j:
+            name, start, boilerplate = stack.pop()
+            n_open[name] -= 1
+            if boilerplate:
+                ended.append((start, k, own and len(stack) == j))
+            if not (own and len(stack) == j):
+                unended.setdefault(name, []).append((start, k))
+
+    for k, (name, closing, attributes, _, _) in enumerate(events):
+        if name is None:
+            continue
+        if closing:
+            if n_open[name]:
+                end(_innermost(stack, name), k, True)
+            continue
+        if name in ENDS_P and n_open["p"]:
+            end(_outermost(stack, P, P_BOUNDS), k, True)
+        if name in IMPLIED and any(n_open[x] for x in IMPLIED[name][0]):
+            end(_outermost(stack, *IMPLIED[name]), k, True)
+        foreign = name in ("svg", "math") or n_open["svg"] or n_open["math"]
+        if name in VOID or name in RAW or foreign and attributes.endswith("/"):
+            continue
+        stack.append((name, k, _is_boilerplate(name, attributes)))
+        n_open[name] += 1
+    end(0, len(events), False)
+
+    words = None
+    out = {}
+    for start, stop, own in ended:
+        held = marks[bisect_right(marks, start) : bisect_left(marks, stop)]
+        name = events[start][0]
+        # Its end tag may be that of an element around it that has none.
+        if held and (not own or any(a < start and b >= stop for a, b in unended.get(name, ()))):
+            stop = held[0]
+        elif not own or name not in DROPPED or name == "form":
+            if marks:
+                if len(held) == len(marks):
+                    continue
+            else:
+                if words is None:
+                    words = [0, *accumulate(0 if e[0] else len(page[e[3] : e[4]].split()) for e in events)]
+                if 2 * (words[stop] - words[start]) > words[-1]:
+                    continue
+        out[start] = stop
+    return out
+
+
+def tokens(page: str) -> Iterator[tuple[str, str, str | None, bool]]:
+    """(kind, feature, text, in article) in page order; kind is 'tag', 'break' (a block starts or
+    ends), 'space' or 'text'. Nothing comes from dropped elements but their tags."""
+    events = _events(page)
+    dropped = _dropped(page, events)
+    inside = 0  # depth in article elements
+    context = "body"
+    k = 0
+    while k < len(events):
+        name, closing, _, start, stop = events[k]
+        if k in dropped:
+            yield "break", "dropped", None, inside > 0
+            k = dropped[k]
+            if k < len(events):
                 yield "break", "dropped", None, inside > 0
+                k += events[k][0] == name and events[k][1]  # its own end tag
+            continue
+        k += 1
+        if name is None:
+            yield "text", "word:" + context, unescape(page[start:stop]), inside > 0
             continue
         if name == "article" and closing:
             inside = max(0, inside - 1)
-        if not closing and name not in VOID and name not in RAW and _is_boilerplate(name, attributes):
-            held.append(name)
-            yield "break", "dropped", None, inside > 0
-            continue
         if name not in INLINE:
             kind = "space" if name == "br" else "break"
             yield kind, ("tag:/" if closing else "tag:") + name, None, inside > 0
@@ -103,11 +221,9 @@ def tokens(page: str) -> Iterator[tuple[str, str, str | None, bool]]:
         if closing:
             context = "body" if name == context else context
             continue
-        if name in RAW:
-            at = _raw_end(page, at, name)
-        elif name == "article":
+        if name == "article":
             inside += 1
-        elif name not in VOID and (name not in INLINE or name == "a"):
+        elif name not in VOID and name not in RAW and (name not in INLINE or name == "a"):
             context = name
 
 

@@ -131,6 +131,28 @@ def test_best_region_is_the_maximum():
         assert bool(got) == (best > 0)
 
 
+def test_dropped_elements_end_and_wrappers_stay():
+    text = "one two three four five six seven eight nine ten"
+
+    def kept(page):
+        return html.extract(page, {"word": 1.0, "tag": -0.1, "dropped": -0.1})
+
+    for page in (
+        f'<p class="ad">Buy<p>{text}</p><p>{text}</p>',
+        f'<ul><li class="share">Buy</ul><p>{text}</p><p>{text}</p>',
+        f'<ul><li class="share">Buy<li>{text}</ul><p>{text}</p>',
+        f'<div><div class="ad">Buy<article><p>{text}</p><p>{text}</p></article></div>',
+        f"<nav>Buy<main><p>{text}</p><p>{text}</p></main>",
+        f"<body><header>Buy<article><p>{text}<p>{text}</article></body>",
+        f'<div class="has-sidebar"><div class="sidebar">Buy</div><p>{text}</p><p>{text}</p></div>',
+        f'<div id="page-header-fixed"><article><p>{text}</p><p>{text}</p></article></div><div class="ad">Buy {text}</div>',
+        f'<table><tr><td class="ad">Buy<td><p>{text}</p><tr><td>{text}</table>',
+        f'<section><span class="ad">Buy</section><p>{text}</p><p>{text}</p>',
+        f"<main><p>{text}</p><p>{text}</p></main><div class=comments><article>Buy {text}</article></div>",
+    ):
+        assert kept(page) == f"{text}\n{text}", page
+
+
 def test_pipeline_stages(spark, sf):
     import corpus_pipeline
 
