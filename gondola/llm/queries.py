@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gondola.llm import (
-    chunk_dedup, cost_packing, host_reputation, html_subsequence, line_winnow, quality_ledger, rans_store,
-    simhash_index, weak_pii, winnow_contamination,
+    chunk_dedup, cost_packing, covertree_codes, entropy_mixing, host_reputation, html_subsequence, line_winnow,
+    quality_ledger, rans_store, simhash_index, token_alignment, weak_pii, winnow_contamination,
 )
 
 
@@ -86,6 +86,23 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_subsequence.extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op11_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = entropy_mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, codebooks = covertree_codes.compress(table(spark, sf_dir, "embeddings"))
+    return codes.select(
+        "vec_id", "code", "error", "label_error", F.lit(covertree_codes.digest(codebooks)).alias("codebooks_sha256")
+    )
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, _ = token_alignment.align(table(spark, sf_dir, "documents"))
+    return documents
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {k: v for k, v in globals().items() if k.startswith("op") and k[2:3].isdigit()}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
