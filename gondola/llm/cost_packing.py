@@ -4,7 +4,7 @@ A piece of n tokens costs LINEAR * n + QUADRATIC * n * n, the two parts of a tra
 work per token, and attention within the piece. Documents are taken in descending cost, and
 each goes to the sequence of lowest cost that still has room for it. Where none has, it is cut
 and fills the sequence of lowest cost that has any room. As many sequences are open as the
-tokens need, so at most one sequence of a group is not full.
+tokens need: the free places of a group's sequences add up to less than one sequence.
 
 A group is a run of documents of one input partition, closed when its tokens reach a fixed
 number. Packing therefore needs no shuffle, holds one group in memory at a time, and gives the

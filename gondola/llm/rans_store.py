@@ -5,7 +5,8 @@ blocks of whole documents. Token counts of all blocks give one shared frequency
 block is coded on its own, as segments of equal length, each of which has its own words and its
 own checkpoint (the states of its lanes and the place of its first word): a reader may start at
 any segment of any block, and all segments of a block are decoded side by side. Each block
-carries checksums of its words and of its ids.
+carries a checksum of every other column and one of each segment's ids; all lanes must end in
+the state in which coding began.
 
 Files: `<path>/frequencies` (symbol, frequency) and `<path>/blocks`, one row per block. Both are
 Parquet, so that Spark's commit protocol makes repeated tasks safe and any store can hold them.
@@ -19,7 +20,8 @@ A block's row:
     states            64-bit states of all lanes, segment by segment (the checkpoints)
     word_starts       the place of each segment's first word
     words             32-bit words read by the decoder, segment by segment
-    words_crc32, ids_crc32
+    segment_crcs      checksums of the segments' ids, as 32-bit numbers
+    row_crc32         checksum of all columns before it
 """
 
 from __future__ import annotations
@@ -45,12 +47,12 @@ _32 = np.uint64(32)
 
 RAW_SCHEMA = (
     "part int, seq int, offset long, n_tokens long, doc_ids array<long>, doc_tokens array<long>, "
-    "ids binary"
+    "ids binary, symbols array<int>, counts array<long>"
 )
 BLOCK_SCHEMA = (
     "part int, seq int, start long, n_tokens long, doc_ids array<long>, doc_tokens array<long>, "
     "lanes int, steps int, states binary, word_starts array<long>, words binary, "
-    "words_crc32 long, ids_crc32 long"
+    "segment_crcs array<long>, row_crc32 long"
 )
 DOC_SCHEMA = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
@@ -121,7 +123,8 @@ class Coder:
         starts = np.concatenate(([0], np.cumsum(np.bincount(own, minlength=segments))[:-1]))
         return lanes, steps, x, starts, flat[np.argsort(own, kind="stable")]
 
-    def decode(self, lanes, steps, states, starts, words, n: int) -> np.ndarray:
+    def decode(self, lanes, steps, states, starts, words, n: int) -> np.ndarray | None:
+        """The first n ids of these segments, in order; None if a lane does not end where coding began."""
         segments = len(starts)
         x = states.copy()
         at = np.asarray(starts, np.int64).copy()
@@ -136,8 +139,10 @@ class Coder:
             if low.any():
                 by_segment = low.reshape(segments, lanes)
                 place = (at[:, None] + np.cumsum(by_segment, axis=1) - 1).reshape(-1)[low]
-                x[low] = (x[low] << _32) | words[place]
+                x[low] = (x[low] << _32) | words.take(place, mode="clip")
                 at += by_segment.sum(axis=1)
+        if (x != LOW).any():
+            return None
         return out.reshape(steps, segments, lanes).transpose(1, 0, 2).reshape(-1)[:n]
 
 
@@ -148,11 +153,15 @@ def _tokenize(frames: Iterator[pa.RecordBatch], path: str, end_id: int, block_to
     enc = wordpiece_ids.encoder(path)
     width, end = enc.dtype.itemsize, np.array([end_id], enc.dtype).tobytes()
     doc_ids, lengths, held, total = [], [], [], 0
-
-    def close():
-        nonlocal seq, offset, doc_ids, lengths, held, total
-        row = (part, seq, offset, total, doc_ids, lengths, b"".join(held))
-        kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
+    counts = np.zeros(enc.size, np.int64)
+
+    def close(last=False):
+        nonlocal seq, offset, doc_ids, lengths, held, total, counts
+        ids = b"".join(held)
+        counts += np.bincount(np.frombuffer(ids, enc.dtype), minlength=enc.size)
+        symbols = np.flatnonzero(counts) if last else np.zeros(0, np.int64)
+        row = (part, seq, offset, total, doc_ids, lengths, ids, symbols.astype(np.int32), counts[symbols])
+        kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int64())]
         names = [c.split()[0] for c in RAW_SCHEMA.split(", ")]
         seq, offset, doc_ids, lengths, held, total = seq + 1, offset + total, [], [], [], 0
         return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names=names)
@@ -167,40 +176,47 @@ def _tokenize(frames: Iterator[pa.RecordBatch], path: str, end_id: int, block_to
                 total += lengths[-1]
                 if total >= block_tokens:
                     yield close()
-    if doc_ids:
-        yield close()
+    if doc_ids or seq:
+        yield close(last=True)  # with the task's counts; without documents if the one before took all
 
 
-def _count(frames, dtype: str):
-    counts = np.zeros(0, np.int64)
-    for frame in frames:
-        for ids in frame.column(0):
-            more = np.bincount(np.frombuffer(ids.as_buffer(), dtype))
-            if len(more) > len(counts):
-                counts, more = more, counts
-            counts[: len(more)] += more
-    found = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(found, pa.int32()), pa.array(counts[found], pa.int64())], names=["symbol", "n"]
-    )
+def _crc(values: dict) -> int:
+    """Checksum of a block's columns up to the segments' checksums."""
+    crc = 0
+    for name in (c.split()[0] for c in BLOCK_SCHEMA.split(", ")[:-1]):
+        x = values[name]
+        if not isinstance(x, bytes):
+            # A null doc_id is told from any number by its own byte.
+            x = b"".join(b"\0" if v is None else b"\1" + v.to_bytes(8, "little", signed=True) for v in (x if isinstance(x, list) else [x]))
+        crc = zlib.crc32(x, zlib.crc32(len(x).to_bytes(8, "little"), crc))
+    return crc
+
+
+def _segment_crcs(ids: np.ndarray, segments: int, size: int) -> list[int]:
+    data = memoryview(np.ascontiguousarray(ids, "<u4")).cast("B")
+    return [zlib.crc32(data[4 * k * size : 4 * (k + 1) * size]) for k in range(segments)]
 
 
 def _encode(frames, freq: np.ndarray, part_starts: dict[int, int], dtype: str):
     coder = Coder(freq)
     names = [c.split()[0] for c in BLOCK_SCHEMA.split(", ")]
-    kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.binary(), pa.int64(), pa.int64()]
+    kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.int64()), pa.int64()]
     for frame in frames:
         for row in (frame.slice(k, 1).to_pylist()[0] for k in range(frame.num_rows)):
             ids = np.frombuffer(row["ids"], dtype)
+            if not len(ids):  # a task's counts alone
+                continue
             lanes, steps, states, starts, words = coder.encode(ids)
-            data = words.astype("<u4").tobytes()
-            values = (
-                row["part"], row["seq"], part_starts[row["part"]] + row["offset"], len(ids),
-                row["doc_ids"], row["doc_tokens"], lanes, steps, states.astype("<u8").tobytes(),
-                starts.tolist(), data, zlib.crc32(data), zlib.crc32(ids.astype("<u4").tobytes()),
-            )
+            values = {
+                "part": row["part"], "seq": row["seq"], "start": part_starts[row["part"]] + row["offset"],
+                "n_tokens": len(ids), "doc_ids": row["doc_ids"], "doc_tokens": row["doc_tokens"],
+                "lanes": lanes, "steps": steps, "states": states.astype("<u8").tobytes(),
+                "word_starts": starts.tolist(), "words": words.astype("<u4").tobytes(),
+                "segment_crcs": _segment_crcs(ids, len(starts), steps * lanes),
+            }
+            values["row_crc32"] = _crc(values)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([v], k) for v, k in zip(values, kinds)], names=names
+                [pa.array([values[c]], k) for c, k in zip(names, kinds)], names=names
             )
 
 
@@ -227,10 +243,10 @@ def write(
         "token-blocks",
     )
     counted = (
-        raw.select("ids").mapInArrow(lambda x: _count(x, dtype), "symbol int, n long")
-        .groupBy("symbol").agg(F.sum("n").alias("n")).orderBy("symbol").collect()
+        raw.where(F.size("symbols") > 0).select(F.explode(F.arrays_zip("symbols", "counts")).alias("x"))
+        .groupBy("x.symbols").agg(F.sum("x.counts").alias("n")).orderBy("symbols").collect()
     )
-    counts = np.zeros(counted[-1].symbol + 1 if counted else 0, np.int64)
+    counts = np.zeros(counted[-1].symbols + 1 if counted else 0, np.int64)
     for symbol, n in counted:
         counts[symbol] = n
     freq = scaled(counts)
@@ -238,7 +254,7 @@ def write(
     for part, n in raw.groupBy("part").agg(F.sum("n_tokens")).orderBy("part").collect():
         starts[part], before = before, before + n
     (
-        raw.mapInArrow(lambda x: _encode(x, freq, starts, dtype), BLOCK_SCHEMA)
+        raw.drop("symbols", "counts").mapInArrow(lambda x: _encode(x, freq, starts, dtype), BLOCK_SCHEMA)
         .sortWithinPartitions("part", "seq").write.parquet(f"{path}/blocks")
     )
     rows = [(s, int(f)) for s, f in enumerate(freq) if f]
@@ -257,20 +273,29 @@ def read_frequencies(spark: SparkSession, path: str) -> np.ndarray:
     return freq
 
 
+def decode_segments(coder: Coder, row: dict, first: int = 0, last: int | None = None) -> np.ndarray:
+    """The ids of a block's segments from `first` up to `last`, not included; of all by default.
+    Segments are decoded side by side, and no others are read. Raises if anything is damaged."""
+    place = f"block {row['part']}/{row['seq']}"
+    if _crc(row) != row["row_crc32"]:
+        raise ValueError(f"{place}: it is damaged")
+    lanes, steps = row["lanes"], row["steps"]
+    size, segments = steps * lanes, len(row["word_starts"])
+    last = segments if last is None else min(last, segments)
+    states = np.frombuffer(row["states"], "<u8")[first * lanes : last * lanes]
+    n = min(row["n_tokens"], last * size) - first * size
+    ids = coder.decode(lanes, steps, states, row["word_starts"][first:last], np.frombuffer(row["words"], "<u4"), n)
+    if ids is None or _segment_crcs(ids, last - first, size) != row["segment_crcs"][first:last]:
+        raise ValueError(f"{place}: its ids are damaged, or the frequencies are not its own")
+    return ids
+
+
 def _decode(frames, freq: np.ndarray, with_ids: bool):
     coder = Coder(freq)
     for frame in frames:
         for row in (frame.slice(k, 1).to_pylist()[0] for k in range(frame.num_rows)):
-            place = f"block {row['part']}/{row['seq']}"
-            if zlib.crc32(row["words"]) != row["words_crc32"]:
-                raise ValueError(f"{place}: its words are damaged")
-            ids = coder.decode(
-                row["lanes"], row["steps"], np.frombuffer(row["states"], "<u8"),
-                row["word_starts"], np.frombuffer(row["words"], "<u4"), row["n_tokens"],
-            )
+            ids = decode_segments(coder, row)
             data = memoryview(ids.astype("<u4").tobytes())
-            if zlib.crc32(data) != row["ids_crc32"]:
-                raise ValueError(f"{place}: its ids are damaged")
             ends = np.cumsum(row["doc_tokens"], dtype=np.int64)
             begins = ends - row["doc_tokens"]
             columns = [

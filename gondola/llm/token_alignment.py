@@ -20,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ from gondola.sources.shared import materialize
 BYTE_TOKENIZER = "byte_bpe_50k.json"
 PIECE_TOKENIZER = "piece_bpe_32k.model"
 # Text of a block, and of each of the two generations of segments that a task remembers.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 MEMORY_BYTES = 32 << 20
 # Longer segments are not remembered.
 LONG_SEGMENT = 64
@@ -42,8 +43,8 @@ _MARK = "▁"
 
 BLOCK_SCHEMA = (
     "block long, doc_ids array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, "
-    "n_links array<long>, digests array<string>, held array<int>, segments binary, times binary, "
-    "sizes binary, links binary, pairs array<long>, n array<long>"
+    "n_links array<long>, digests array<string>, held array<int>, pair binary, times binary, "
+    "pairs array<long>, n array<long>"
 )
 SCHEMA = (
     "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, "
@@ -76,15 +77,18 @@ class Aligner:
         self.b = sentencepiece.SentencePieceProcessor(model_file=piece_path)
         n = self.b.get_piece_size()
         pieces = [self.b.id_to_piece(i) for i in range(n)]
-        self.b_singles = {i for i in range(n) if self.b.is_byte(i)}
+        self.b_single = np.array([self.b.is_byte(i) for i in range(n)])
         self.b_bytes = [
-            bytes([int(p[3:-1], 16)]) if i in self.b_singles else p.replace(_MARK, " ").encode()
-            for i, p in enumerate(pieces)
+            bytes([int(p[3:-1], 16)]) if single else p.replace(_MARK, " ").encode()
+            for p, single in zip(pieces, self.b_single)
         ]
         # Cuts are safe where no piece has a space after something else, nor a line end.
-        normal = [p for i, p in enumerate(pieces) if i not in self.b_singles]
+        normal = [p for p, single in zip(pieces, self.b_single) if not single]
         self.cuts = not any(re.search(f"[^{_MARK}]{_MARK}|\n", p) for p in normal)
         self.space = self.b.piece_to_id(_MARK)
+        self.a_length = np.array([len(x) for x in self.a_bytes], np.int64)
+        self.b_length = np.array([len(x) for x in self.b_bytes], np.int64)
+        self.texts = [f"{c}{i}" for c, x in (*zip(";,", [self.a_bytes] * 2), *zip("|,", [self.b_bytes] * 2)) for i in range(len(x))]
 
     def segments(self, text: str) -> list[str]:
         """The text behind a space, in segments that both tokenizers take on their own."""
@@ -93,81 +97,84 @@ class Aligner:
             return [whole]
         return _CUT.split(whole) if _OTHER_SPACE.search(whole) else _SEGMENT.findall(whole)
 
-    def _a_ends(self, ids: list[int], spans: list, places: list[int] | None) -> list[int]:
-        """Byte offsets where A's tokens end: the character offsets' ends, but for tokens whose
-        last character the next token has a part of. `places` are the characters' offsets in
-        bytes, None where every character is one byte, which no tokens can share."""
-        if places is None:
-            return [upto for _, upto in spans]
-        ends, end, last = [], 0, len(ids) - 1
-        for k, (_, upto) in enumerate(spans):
-            if k < last and spans[k + 1][0] < upto:
-                end += len(self.a_bytes[ids[k]])
-            else:
-                end = places[upto]
-            ends.append(end)
-        return ends
-
-    def _b_ends(self, ids: list[int], pieces: list, shift: int) -> list[int]:
-        """Byte offsets where B's tokens end: the spans' ends, and one byte each within a
-        character that was left to byte pieces."""
-        ends = [p.end + shift for p in pieces]
-        if not self.b_singles.isdisjoint(ids):
-            for k, i in enumerate(ids):
-                if i in self.b_singles:
-                    ends[k] = ends[k - 1] + 1 if k else 1
-        return ends
+    def ends(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
+        """Ids of A and the byte offsets where they end, and the same of B; None where a
+        tokenizer's bytes are not the text's. The text starts with a space, which B adds by
+        itself, or with a line end, before which the space that B adds is dropped."""
+        data = text.encode()
+        coded = self.a.encode(text, add_special_tokens=False)
+        if text == " ":  # B adds nothing to nothing
+            pieces = ()
+            b_ids, coarse_b = [self.space], np.ones(1, np.int64)
+        else:
+            skip = 0 if text[0] == " " else 1
+            pieces = self.b.encode(text if skip else text[1:], return_type="proto").pieces[skip:]
+            b_ids = [p.id for p in pieces]
+            coarse_b = np.array([p.end for p in pieces], np.int64) + (1 - skip)
+        a_ids = coded.ids
+        whole = b"".join([self.a_bytes[i] for i in a_ids]), b"".join([self.b_bytes[i] for i in b_ids])
+        if whole != (data, data):
+            return None
+        a, b = np.array(a_ids, np.int64), np.array(b_ids, np.int64)
+        spans = coded.offsets
+        upto = np.array([j for _, j in spans], np.int64)
+        if len(data) != len(text):
+            starts = np.flatnonzero(np.frombuffer(data, np.uint8) & 0xC0 != 0x80)
+            starts = np.append(starts, len(data))
+            first = np.array([i for i, _ in spans], np.int64)
+            shared = np.append(first[1:] < upto[:-1], False)
+            a_ends = np.where(shared, np.cumsum(self.a_length[a]), starts[upto])
+        else:  # no character of one byte is shared
+            a_ends = upto
+        single = self.b_single[b]
+        b_ends = np.where(single, np.cumsum(self.b_length[b]), coarse_b) if single.any() else coarse_b
+        return a, a_ends, b, b_ends
 
     def align(self, segments: list[str]) -> list[tuple | None]:
-        """Of each segment (groups as text, tokens of A, of B, groups, *links as a << 32 | b);
-        None where a tokenizer's bytes are not the segment's. A segment starts with a space, which B
-        adds by itself, or with a line end, before which B's space is dropped."""
-        fed = [s[1:] if s[0] == " " else s for s in segments]
-        coded = self.a.encode_batch(segments, add_special_tokens=False)
-        out = []
-        for s, a, proto in zip(segments, coded, self.b.encode(fed, return_type="proto")):
-            data = s.encode()
-            places = None
-            if len(data) != len(s):
-                places = [0]
-                for c in s:
-                    places.append(places[-1] + len(c.encode()))
-            skip = 0 if s[0] == " " else 1
-            pieces = proto.pieces[1:] if skip else proto.pieces
-            b_ids = [p.id for p in pieces]
-            if s == " ":  # a text's last space: B is fed nothing and adds nothing
-                b_ids, b_ends = [self.space], [1]
-            else:
-                b_ends = self._b_ends(b_ids, pieces, 1 - skip)
-            a_ids = a.ids
-            if skip and proto.pieces[0].id != self.space:
-                out.append(None)
-            elif b"".join([self.a_bytes[i] for i in a_ids]) != data or b"".join([self.b_bytes[i] for i in b_ids]) != data:
-                out.append(None)
-            else:
-                out.append(_merge(a_ids, self._a_ends(a_ids, a.offsets, places), b_ids, b_ends))
+        """Of each segment (groups as text, each after a `;`, tokens of A, of B, groups, its
+        links a << 32 | b as bytes); None where a tokenizer changes it. Segments that end in a
+        character other than white space are put together again, as one text."""
+        out: list[tuple | None] = [None] * len(segments)
+        joint = [k for k, s in enumerate(segments) if not s[-1].isspace()]
+        for k in set(range(len(segments))).difference(joint):
+            out[k] = self._aligned([segments[k]])[0]
+        found = self._aligned([segments[k] for k in joint]) if joint else []
+        for k, x in zip(joint, found):
+            out[k] = x
         return out
 
-
-def _merge(a_ids, a_ends, b_ids, b_ends) -> tuple:
-    """Groups and links of two rows of tokens over the same bytes."""
-    n, m = len(a_ids), len(b_ids)
-    if n == 1 or m == 1:
-        text = f"{','.join(map(str, a_ids))}|{','.join(map(str, b_ids))}"
-        return (text, n, m, 1, *[a << 32 | b for a in a_ids for b in b_ids])
-    groups, links = [], []
-    i = j = i0 = j0 = 0
-    while i < n:
-        links.append(a_ids[i] << 32 | b_ids[j])
-        x, y = a_ends[i], b_ends[j]
-        if x <= y:
-            i += 1
-        if y <= x:
-            j += 1
-        if x == y:
-            groups.append(f"{','.join(map(str, a_ids[i0:i]))}|{','.join(map(str, b_ids[j0:j]))}")
-            i0, j0 = i, j
-    return (";".join(groups), n, m, len(groups), *links)
+    def _aligned(self, segments: list[str]) -> list[tuple | None]:
+        found = self.ends("".join(segments))
+        if found is None:  # one of them or more
+            if len(segments) == 1:
+                return [None]
+            half = len(segments) // 2
+            return self._aligned(segments[:half]) + self._aligned(segments[half:])
+        a, a_ends, b, b_ends = found
+        lengths = [len(s) if s.isascii() else len(s.encode()) for s in segments]
+        upto = np.cumsum(lengths)
+        # Between two neighbouring ends of either side lies one link.
+        either = np.union1d(a_ends, b_ends)
+        links = a[np.searchsorted(a_ends, either)] << 32 | b[np.searchsorted(b_ends, either)]
+        both = np.intersect1d(a_ends, b_ends, assume_unique=True)
+        # Tokens by group, those of A first; the first of A in a group follows a `;`, the first
+        # of B a `|`, all others a comma.
+        group_a, group_b = np.searchsorted(both, a_ends), np.searchsorted(both, b_ends)
+        n, m = len(self.a_length), len(self.b_length)
+        text_a = a + n * (np.diff(group_a, prepend=-1) == 0)
+        text_b = b + 2 * n + m * (np.diff(group_b, prepend=-1) == 0)
+        order = np.argsort(np.concatenate((2 * group_a, 2 * group_b + 1)), kind="stable")
+        texts = list(map(self.texts.__getitem__, np.concatenate((text_a, text_b))[order].tolist()))
+        cut_a, cut_b, cut_group, cut_link = (
+            np.searchsorted(x, upto, side="right") for x in (a_ends, b_ends, both, either)
+        )
+        data = links.astype("<i8").tobytes()
+        rows, t0, a0, b0, g0, l0 = [], 0, 0, 0, 0, 0
+        for a1, b1, g1, l1 in zip(cut_a.tolist(), cut_b.tolist(), cut_group.tolist(), (8 * cut_link).tolist()):
+            t1 = a1 + b1
+            rows.append(("".join(texts[t0:t1]), a1 - a0, b1 - b0, g1 - g0, data[l0:l1]))
+            t0, a0, b0, g0, l0 = t1, a1, b1, g1, l1
+        return rows
 
 
 class _Memory:
@@ -181,15 +188,14 @@ class _Memory:
 
     def aligned(self, segments: list[str]) -> list[tuple | None]:
         found = list(map(self.young.get, segments, [0] * len(segments)))
-        missing = [k for k, x in enumerate(found) if x == 0]
         new = []
-        for k in missing:
-            x = self.old.get(segments[k], 0)
+        for k, x in enumerate(found):
             if x == 0:
-                new.append(k)
-            else:
-                found[k] = x
-                self._keep(segments[k], x)
+                found[k] = x = self.old.get(segments[k], 0)
+                if x == 0:
+                    new.append(k)
+                else:
+                    self._keep(segments[k], x)
         for part in _parts(new, segments):
             for k, x in zip(part, self.aligner.align([segments[k] for k in part])):
                 found[k] = x
@@ -201,10 +207,10 @@ class _Memory:
         if self.held > MEMORY_BYTES:
             self.young, self.old, self.held = {}, self.young, 0
         self.young[segment] = x
-        self.held += 300 + 40 * len(x or ())  # about what Python needs for it
+        self.held += 400 + (len(x[4]) if x else 0)  # about what Python needs for it
 
 
-def _parts(new: list[int], segments: list[str], most: int = 1 << 16):
+def _parts(new: list[int], segments: list[str], most: int = 1 << 17):
     """Runs of places with about so many characters in all."""
     part, size = [], 0
     for k in new:
@@ -236,32 +242,48 @@ def _block(number: int, ids: list, texts: list, memory: _Memory) -> pa.RecordBat
     bad = {k for k, x in enumerate(found) if x is None}
     if bad:
         rows = [[] if bad.intersection(r) else r for r in rows]
-        found = [x or ("", 0, 0, 0) for x in found]
+        found = [x or ("", 0, 0, 0, b"") for x in found]
     names = [x[0] for x in found]
-    digests = [hashlib.sha256(";".join(map(names.__getitem__, r)).encode()).hexdigest() if r else "" for r in rows]
+    digests = [hashlib.sha256("".join(map(names.__getitem__, r)).encode()[1:]).hexdigest() if r else "" for r in rows]
     lengths = np.fromiter(map(len, rows), np.int64, len(rows))
-    flat = np.fromiter((k for r in rows for k in r), np.int64, int(lengths.sum()))
-    doc = np.repeat(np.arange(len(rows)), lengths)
-    measures = np.array([(*x[1:4], len(x) - 4) for x in found], np.int64).reshape(-1, 4)
-    sums = np.zeros((len(rows), 4), np.int64)
-    np.add.at(sums, doc, measures[flat])
-    # Each document's distinct segments and how often it has them.
-    keys, times = np.unique(doc * max(len(found), 1) + flat, return_counts=True)
-    owner, segment = np.divmod(keys, max(len(found), 1))
-    links = np.fromiter((p for x in found for p in x[4:]), np.int64, int(measures[:, 3].sum()))
-    pairs, which = np.unique(links, return_inverse=True)
-    used = np.bincount(segment, weights=times, minlength=len(found)).astype(np.int64)
-    n = np.bincount(which, weights=np.repeat(used, measures[:, 3]), minlength=len(pairs)).astype(np.int64)
+    flat = np.fromiter(chain.from_iterable(rows), np.int64, int(lengths.sum()))
+    del rows, names
+    doc = np.repeat(np.arange(len(lengths)), lengths)
+    measures = np.array([(x[1], x[2], x[3], len(x[4]) // 8) for x in found], np.int64).reshape(-1, 4)
+    sums = np.stack([_sum_by(lengths, measures[flat, k]) for k in range(4)])
+    pairs, which = np.unique(np.frombuffer(b"".join([x[4] for x in found]), "<i8"), return_inverse=True)
+    del found, numbers
+    # Each document's distinct pairs and how often it has them.
+    size = measures[:, 3]
+    first = np.cumsum(size) - size
+    owner = np.repeat(doc, size[flat])
+    keys, times = np.unique(owner * max(len(pairs), 1) + which[_spans(first[flat], size[flat])], return_counts=True)
+    owner, pair = np.divmod(keys, max(len(pairs), 1))
+    n = np.bincount(pair, weights=times, minlength=len(pairs)).astype(np.int64)
     lists = lambda x, kind=pa.int64(): pa.array([x], pa.list_(kind))
     columns = [
-        pa.array([number], pa.int64()), lists(ids), *(lists(sums[:, k]) for k in range(4)),
-        lists(digests, pa.string()), lists(np.bincount(owner, minlength=len(rows)).astype(np.int32), pa.int32()),
-        *(pa.array([x.astype("<u4").tobytes()], pa.binary()) for x in (segment, times, measures[:, 3], which)),
-        lists(pairs), lists(n),
+        pa.array([number], pa.int64()), lists(ids), *map(lists, sums), lists(digests, pa.string()),
+        lists(np.bincount(owner, minlength=len(lengths)).astype(np.int32), pa.int32()),
+        pa.array([_small(pair)], pa.binary()), pa.array([_small(times)], pa.binary()), lists(pairs), lists(n),
     ]
     return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in BLOCK_SCHEMA.split(", ")])
 
 
+def _small(x: np.ndarray) -> bytes:
+    """Numbers in as few bytes each as the largest needs."""
+    return x.astype(np.min_scalar_type(int(x.max()) if len(x) else 0).newbyteorder("<")).tobytes()
+
+
+def _wide(data: pa.Buffer, n: int) -> np.ndarray:
+    return np.frombuffer(data, f"<u{len(data) // n}").astype(np.int64) if n else np.zeros(0, np.int64)
+
+
+def _spans(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """first, first + 1, ... of each span, one after another."""
+    shift = np.repeat(first - (np.cumsum(count) - count), count)
+    return np.arange(len(shift)) + shift
+
+
 def _blocks(frames: Iterator[pa.RecordBatch], paths: tuple[str, str], block_bytes: int):
     from pyspark import TaskContext
 
@@ -302,11 +324,9 @@ def _documents(frames: Iterator[pa.RecordBatch]):
                 at = counted.field("place").to_numpy()
                 total[at] = counted.field("total").to_numpy()
                 best[at] = counted.field("best").to_numpy(zero_copy_only=False)
-            segment, times, sizes, links = (
-                np.frombuffer(row[c].as_buffer(), "<u4").astype(np.int64) for c in ("segments", "times", "sizes", "links")
-            )
             held = row["held"].values.to_numpy().astype(np.int64)
-            sums = [_sum_by(held, _sum_by(sizes, x[links])[segment] * times) for x in (best, total)]
+            pair, times = (_wide(row[c].as_buffer(), int(held.sum())) for c in ("pair", "times"))
+            sums = [_sum_by(held, x[pair] * times) for x in (best, total)]
             columns = [*(flat[c] for c in plain), *(pa.array(x) for x in sums), flat["digests"]]
             yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in SCHEMA.split(", ")])
 
