@@ -20,6 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from gondola.llm.names import quoted
 from gondola.sources.shared import materialize
 
 BITS = 5
@@ -132,21 +133,19 @@ def dedup_substrings(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     texts without repeats stay as they are. Rows that agree in doc_id and text are one place
     and keep or lose their chunks alike. A null doc_id comes before all others. An empty table
     gives no rows. A column of the documents named n_removed is replaced."""
-    names = [c for c in docs.columns if c != "n_removed"]
-    others = F.struct(*(c for c in names if c != "text")).alias("row")
-    marked = docs.select("doc_id", "text", F.xxhash64("text").alias("hash"), others)
+    names = [c for c in docs.columns if c.lower() != "n_removed"]
+    others = F.struct(*(quoted(c) for c in names if c.lower() != "text")).alias("row")
+    marked = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("hash"), others)
     spans = repeats(docs).withColumnRenamed("doc_id", "id")
     joined = marked.join(
         spans, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("hash") == F.col("text_hash")), "left"
-    )
-    joined = joined.select(*(F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in names), "spans")
-    at = names.index("text")
-    schema = T.StructType([*joined.schema.fields[:-1], T.StructField("n_removed", T.LongType())])
+    ).select("row", "text", "spans")
+    schema = T.StructType([*joined.schema.fields[:2], T.StructField("n_removed", T.LongType())])
 
     def run(frames):
         for frame in frames:
-            texts, removed = frame.column(at).to_pylist(), []
-            for k, spans in enumerate(frame.column(len(names)).to_pylist()):
+            texts, removed = frame.column(1).to_pylist(), []
+            for k, spans in enumerate(frame.column(2).to_pylist()):
                 cut = runs([(s["start"], s["size"]) for s in spans or ()], min_run)
                 removed.append(sum(b - a for a, b in cut))
                 if cut:
@@ -154,8 +153,9 @@ def dedup_substrings(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
                     ends = [0, *(b for _, b in cut)]
                     starts = [*(a for a, _ in cut), len(data)]
                     texts[k] = b"".join(data[a:b] for a, b in zip(ends, starts)).decode("utf-8", "replace")
-            columns = frame.columns[:-1]
-            columns[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(removed, pa.int64())], names=[*names, "n_removed"])
+            columns = [frame.column(0), pa.array(texts, pa.string()), pa.array(removed, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "text", "n_removed"])
 
-    return joined.mapInArrow(run, schema)
+    cleaned = joined.mapInArrow(run, schema)
+    made = (F.col("text") if c.lower() == "text" else F.col("row")[c] for c in names)
+    return cleaned.select(*(x.alias(c) for x, c in zip(made, names)), "n_removed")

@@ -151,29 +151,29 @@ def links(fingerprints: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK)
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fingerprint as a signed long) of every row."""
+    """(doc_id, text_hash, fingerprint as a signed long) of every row."""
 
     def run(frames):
         for frame in frames:
-            found = [fingerprint(t.as_py(), shingle) for t in frame.column(1)]
+            found = [fingerprint(t.as_py(), shingle) for t in frame.column(2)]
             yield pa.RecordBatch.from_arrays(
-                [frame.column(0), pa.array(np.array(found, np.uint64).view(np.int64))],
-                names=["doc_id", "fingerprint"],
+                [*frame.columns[:2], pa.array(np.array(found, np.uint64).view(np.int64))],
+                names=["doc_id", "text_hash", "fingerprint"],
             )
 
-    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return chosen.mapInArrow(run, "doc_id long, fingerprint long")
+    text = F.col("text").cast("string")
+    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    return chosen.mapInArrow(run, "doc_id long, text_hash long, fingerprint long")
 
 
-def _labelled(docs: DataFrame, shingle: int, max_bits: int) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, fingerprint) of every row, and (fingerprint, component_id) of every fingerprint."""
-    found = materialize(fingerprints(docs, shingle), "fingerprints")
-    distinct = materialize(found.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), "distinct")
+def _least(found: DataFrame, key: Column, max_bits: int) -> DataFrame:
+    """(fingerprint, least): the smallest key of the component of every fingerprint."""
+    distinct = materialize(found.groupBy("fingerprint").agg(F.min(key).alias("first")), "distinct")
     linked = components(links(distinct.select("fingerprint"), max_bits))
     rooted = distinct.join(linked.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "fingerprint"))
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return found, rooted.join(least, "root").select("fingerprint", "component_id")
+    least = rooted.groupBy("root").agg(F.min("first").alias("least"))
+    return rooted.join(least, "root").select("fingerprint", "least")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
@@ -184,30 +184,35 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     any other. Rows with the same doc_id have a row each; null ids are never the smallest, and a
     component of null ids alone has a null id. An empty table gives no rows. An action: the
     fingerprints, links and rounds are written to the shared folder."""
-    found, labels = _labelled(docs, shingle, max_bits)
+    found = materialize(fingerprints(docs, shingle).drop("text_hash"), "fingerprints")
+    labels = _least(found, F.col("doc_id"), max_bits).withColumnRenamed("least", "component_id")
     return found.join(labels, "fingerprint").select(
         "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
 def first_of_group(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """One document of each component: the row with the smallest doc_id, and of several rows with
-    that doc_id the first in order of text. Rows without a doc_id cannot be told apart by it:
-    all of them stay. An empty table gives no rows. An action.
-
-    The ids that stay are joined with the documents, which are shuffled once, by doc_id; only
-    rows whose id is not unique are compared by more than their id."""
-    found, labels = _labelled(docs, shingle, max_bits)
-    judged = found.join(labels, "fingerprint")
-    ids = materialize(
-        judged.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").count(), "kept-ids"
+    """One document of each component: the row with the smallest doc_id; rows without one come
+    last, and of several rows with that doc_id, or without any, the one with the smallest hash
+    of its text stays, or of all its columns where the texts are alike too. An empty table
+    gives no rows. An action.
+
+    The documents are read once more and joined with the rows that go, told by doc_id and text
+    hash: these are written first, so their size decides between a broadcast and one shuffle."""
+    found = materialize(fingerprints(docs, shingle), "fingerprints")
+    key = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")
+    judged = found.join(_least(found, key, max_bits), "fingerprint").select(
+        "doc_id", "text_hash", key.eqNullSafe(F.col("least")).alias("first")
+    )
+    judged = materialize(judged.groupBy("doc_id", "text_hash", "first").count().where("NOT first OR count > 1"), "gone")
+    text = F.col("text").cast("string")
+    places = docs.select(
+        F.col("doc_id").cast("long").alias("id"), F.xxhash64(text).alias("hash"), F.struct("*").alias("row")
     )
-    once = ids.where("count = 1").select("doc_id")
-    kept = docs.join(once, "doc_id", "left_semi").unionByName(docs.where("doc_id IS NULL"))
-    several = ids.where("count > 1").select("doc_id")
-    if not several.isEmpty():
-        order = F.struct("text", F.xxhash64(*docs.columns))
-        whole = F.min_by(F.struct(*docs.columns), order).alias("row")
-        repeated = docs.join(several, "doc_id", "left_semi").groupBy("doc_id").agg(whole)
-        kept = kept.unionByName(repeated.select("row.*"))
-    return kept.select(*docs.columns)
+    same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("text_hash"))
+    kept = places.join(judged, same, "left_anti").select("row")
+    alike = judged.where("first")
+    if not alike.isEmpty():  # rows that agree in doc_id and text: one of them
+        whole = places.join(alike, same, "left_semi").groupBy("id", "hash")
+        kept = kept.union(whole.agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row"))
+    return kept.select("row.*")

@@ -22,6 +22,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from gondola.llm.names import quoted
+
 SPAN = 10
 GRAM = 5
 # Text of the items that one pass over the documents compares with.
@@ -212,14 +214,14 @@ def annotate(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram: int
     size = chosen.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-int(size) // block_bytes))
     place = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
-    out = docs.drop(into)
+    names = [c for c in docs.columns if c.lower() != into.lower()]
+    others = [quoted(c) for c in names if c.lower() != "text"]
+    out = docs.select(F.struct(*others).alias("row"), F.col("text").cast("string").alias("text"))
     kinds = pa.struct([
         ("n_words", pa.int64()), ("n_hit", pa.int64()), ("n_items", pa.int64()), ("item_ids", pa.list_(pa.string())),
         ("hits", pa.list_(pa.struct([("first", pa.int64()), ("after", pa.int64())]))),
     ])
-    fields = list(out.columns)
-    schema = T.StructType([*out.schema.fields, T.StructField(into, T.StructType.fromDDL(SCHEMA))])
-    at = fields.index("text")
+    schema = T.StructType([*out.schema.fields, T.StructField("found", T.StructType.fromDDL(SCHEMA))])
     for block in range(blocks):
         rows = [tuple(r) for r in chosen.where(place == block).collect()]
         sent = spark.sparkContext.broadcast(rows)
@@ -230,19 +232,19 @@ def annotate(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram: int
             for frame in frames:
                 for k in range(0, frame.num_rows, 512):
                     part = frame.slice(k, 512)
-                    found = list(_compare(part.column(at).to_pylist(), items))
+                    found = list(_compare(part.column(1).to_pylist(), items))
                     if more:
-                        found = [_merged(x, y) for x, y in zip(part.column(len(fields)).to_pylist(), found)]
+                        found = [_merged(x, y) for x, y in zip(part.column(2).to_pylist(), found)]
                     made = pa.array([
                         {"n_words": n, "n_hit": hit, "n_items": c, "item_ids": names,
                          "hits": [{"first": a, "after": b} for a, b in runs]}
                         for n, hit, c, names, runs in found
                     ], kinds)
-                    columns = [*part.columns[: len(fields)], made]
-                    yield pa.RecordBatch.from_arrays(columns, names=[*fields, into])
+                    yield pa.RecordBatch.from_arrays([*part.columns[:2], made], names=["row", "text", "found"])
 
         out = out.mapInArrow(run, schema)
-    return out
+    columns = [(F.col("text") if c.lower() == "text" else F.col("row")[c]).alias(c) for c in names]
+    return out.select(*columns, F.col("found").alias(into))
 
 
 def _merged(old: dict, new: tuple):

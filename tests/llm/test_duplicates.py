@@ -83,7 +83,7 @@ def test_one_row_stays_of_repeated_rows(spark):
     table = docs(spark, ["a b c d e"] * 4 + [None, ""], [3, 3, 5, None, 9, 8]).selectExpr("*", "1 AS count", "2 AS fingerprint")
     kept = si.first_of_group(table)
     assert kept.columns == table.columns
-    assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == [("3", "a b c d e"), ("8", ""), ("None", "a b c d e")]
+    assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == [("3", "a b c d e"), ("8", "")]
     assert si.first_of_group(docs(spark, [])).count() == 0 and si.near_duplicates(docs(spark, [])).count() == 0
 
 

@@ -55,7 +55,8 @@ LABELS = "doc_id long, quality int, toxic int"
 
 def judge(spark, urls, labels, **k):
     pages = spark.createDataFrame([(i, u, None) for i, u in enumerate(urls)], PAGES)
-    return {r.page_id: r for r in host_reputation.judge(pages, spark.createDataFrame(labels, LABELS), **k).collect()}
+    rows = host_reputation.judge(pages, spark.createDataFrame(labels, LABELS), **k).collect()
+    return {r.page_id: r for r in sorted(rows, key=lambda r: r.page_id)}
 
 
 def test_url_parts_and_rules(spark):
