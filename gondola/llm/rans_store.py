@@ -180,6 +180,20 @@ def _tokenize(frames: Iterator[pa.RecordBatch], path: str, end_id: int, block_to
         yield close(last=True)  # with the task's counts; without documents if the one before took all
 
 
+def _add_up(frames):
+    """A task's counts by symbol, from those of its blocks."""
+    counts = np.zeros(0, np.int64)
+    for frame in frames:
+        symbols, n = (np.asarray(frame.column(c).flatten(), np.int64) for c in range(2))
+        more = np.bincount(symbols, weights=n, minlength=len(counts)).astype(np.int64)
+        more[: len(counts)] += counts
+        counts = more
+    found = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(found, pa.int32()), pa.array(counts[found], pa.int64())], names=["symbol", "n"]
+    )
+
+
 def _crc(values: dict) -> int:
     """Checksum of a block's columns up to the segments' checksums."""
     crc = 0
@@ -243,10 +257,10 @@ def write(
         "token-blocks",
     )
     counted = (
-        raw.where(F.size("symbols") > 0).select(F.explode(F.arrays_zip("symbols", "counts")).alias("x"))
-        .groupBy("x.symbols").agg(F.sum("x.counts").alias("n")).orderBy("symbols").collect()
+        raw.select("symbols", "counts").mapInArrow(_add_up, "symbol int, n long")
+        .groupBy("symbol").agg(F.sum("n").alias("n")).orderBy("symbol").collect()
     )
-    counts = np.zeros(counted[-1].symbols + 1 if counted else 0, np.int64)
+    counts = np.zeros(counted[-1].symbol + 1 if counted else 0, np.int64)
     for symbol, n in counted:
         counts[symbol] = n
     freq = scaled(counts)

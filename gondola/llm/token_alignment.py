@@ -7,8 +7,9 @@ say where each ends. Offsets where both end cut a text into groups; pairs of ove
 are its links.
 
 Neither tokenizer joins characters across the place before a space or line end that follows a
-character which is not white space. Texts are cut there, and each distinct segment is
-tokenized and aligned once per task, as long as a bounded memory of segments holds it.
+character which is not white space, nor a letter with a mark where only marks come before the
+next white space. Texts are cut there, and each distinct segment is tokenized and aligned once
+per task, as long as a bounded memory of segments holds it.
 
 Links are counted over the corpus by pair of ids. A block of documents is stored with its
 distinct segments and pairs, and the counts come back to it by pair: what is shuffled are the
@@ -32,12 +33,15 @@ BYTE_TOKENIZER = "byte_bpe_50k.json"
 PIECE_TOKENIZER = "piece_bpe_32k.model"
 # Text of a block, and of each of the two generations of segments that a task remembers.
 BLOCK_BYTES = 4 << 20
-MEMORY_BYTES = 32 << 20
+MEMORY_BYTES = 40 << 20
 # Longer segments are not remembered.
 LONG_SEGMENT = 64
 
-_SEGMENT = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
-_OTHER_SPACE = re.compile(r"[^\S \n]")
+_SEGMENT = re.compile(r"[ \n]*[^ \n\0]+|[ \n]+")
+_MARKS = r"[!-/:-@\[-^`{-~]"
+# A run of marks between a letter and white space.
+_STOP = re.compile(rf"{_MARKS}(?<=[A-Za-z]{_MARKS}){_MARKS}*(?=[ \n]|$)")
+_OTHER_SPACE = re.compile(r"[^\S \n]|\0")
 _CUT = re.compile(r"(?<=\S)(?=[ \n])")
 _MARK = "▁"
 
@@ -85,6 +89,7 @@ class Aligner:
         # Cuts are safe where no piece has a space after something else, nor a line end.
         normal = [p for p, single in zip(pieces, self.b_single) if not single]
         self.cuts = not any(re.search(f"[^{_MARK}]{_MARK}|\n", p) for p in normal)
+        self.stops = not any(re.search(rf"[A-Za-z]{_MARKS}", p) for p in normal)
         self.space = self.b.piece_to_id(_MARK)
         self.a_length = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_length = np.array([len(x) for x in self.b_bytes], np.int64)
@@ -95,7 +100,9 @@ class Aligner:
         whole = " " + text
         if not self.cuts:
             return [whole]
-        return _CUT.split(whole) if _OTHER_SPACE.search(whole) else _SEGMENT.findall(whole)
+        if _OTHER_SPACE.search(whole):
+            return _CUT.split(whole)
+        return _SEGMENT.findall(_STOP.sub("\0\\g<0>", whole) if self.stops else whole)
 
     def ends(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
         """Ids of A and the byte offsets where they end, and the same of B; None where a
@@ -133,22 +140,30 @@ class Aligner:
     def align(self, segments: list[str]) -> list[tuple | None]:
         """Of each segment (groups as text, each after a `;`, tokens of A, of B, groups, its
         links a << 32 | b as bytes); None where a tokenizer changes it. Segments that end in a
-        character other than white space are put together again, as one text."""
+        character other than white space are put together again, as one text, those of marks
+        behind a letter."""
         out: list[tuple | None] = [None] * len(segments)
-        joint = [k for k, s in enumerate(segments) if not s[-1].isspace()]
-        for k in set(range(len(segments))).difference(joint):
-            out[k] = self._aligned([segments[k]])[0]
-        found = self._aligned([segments[k] for k in joint]) if joint else []
-        for k, x in zip(joint, found):
+        joint, marks = [], []
+        for k, s in enumerate(segments):
+            if s[-1].isspace():
+                out[k] = self._aligned([s])[0]
+            else:
+                (joint if s[0] in " \n" else marks).append(k)
+        text = [segments[k] for k in joint]
+        for k in marks:
+            text += " a", segments[k]
+        found = self._aligned(text) if text else []
+        for k, x in zip(joint + marks, found[: len(joint)] + found[len(joint) + 1 :: 2]):
             out[k] = x
         return out
 
     def _aligned(self, segments: list[str]) -> list[tuple | None]:
         found = self.ends("".join(segments))
         if found is None:  # one of them or more
-            if len(segments) == 1:
-                return [None]
             half = len(segments) // 2
+            half += segments[half][0] not in " \n"  # marks stay behind their letter
+            if len(segments) == 1 or half == len(segments):
+                return [None] * len(segments)
             return self._aligned(segments[:half]) + self._aligned(segments[half:])
         a, a_ends, b, b_ends = found
         lengths = [len(s) if s.isascii() else len(s.encode()) for s in segments]
