@@ -17,7 +17,7 @@ from gondola.config import CLEAN_COLUMNS
 from gondola.functions import size, text, units
 from gondola.operators import checks, compare, diagnostics, enrich, facts, findings, quality, sampling, texts
 from gondola.plans import clean as clean_plan, star as star_plan
-from gondola.sources import landing, raw, tables as stored
+from gondola.sources import archives, landing, raw, tables as stored, zips
 from gondola.sources.shared import materialize, new_path
 
 
@@ -77,6 +77,22 @@ class Tables:
         """The raw tables written as a landing area of delimited text."""
         return write_landing(self.spark, self.sf_dir)
 
+    @cached_property
+    def archives(self) -> str:
+        """The landing area as archives, one per day, ten years on: only dates from 2000 on
+        are read from packed names."""
+        root = new_path(self.spark, "archives")
+        lines = self.spark.read.text(self.landing).select("fecha", "paquete", "rol", "value", "_metadata")
+        name = F.concat_ws("_", "rol", F.substring_index("_metadata.file_path", "/", -1))
+        zips.write_days(
+            lines.select(
+                F.add_months("fecha", 120).alias("dia"), "paquete", name.alias("nombre"), F.col("value").alias("linea"),
+                F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("orden"),
+            ),
+            root,
+        )
+        return root
+
     @property
     def chains(self) -> list[str]:
         names = fixtures.read(self.spark, self.sf_dir, "customer").select("c_mktsegment").distinct()
@@ -389,6 +405,27 @@ def archivos_descubiertos(t: Tables) -> DataFrame:
     )
 
 
+@query
+def archivos_desempacados(t: Tables) -> DataFrame:
+    """The landing area packed by day and merchant, unpacked again and read."""
+    out = new_path(t.spark, "unpacked-landing")
+    archives.unpack(t.spark, t.archives, out)
+    rows, _ = raw.read_role(t.spark, "productos", out)
+    return rows.groupBy(F.add_months("fecha", -120).alias("fecha"), "id_comercio").agg(
+        F.count(F.lit(1)).alias("filas"),
+        F.round(F.sum(text.to_number(F.col("productos_precio_lista"))), 2).alias("precio_total"),
+    )
+
+
+@query
+def fecha_contenido(t: Tables) -> DataFrame:
+    files, _ = archives.expand_archives(t.spark, t.archives)
+    names = files.select("archivo", "paquete", "nombre").distinct()
+    return names.join(archives.content_date(names), "archivo").groupBy(F.add_months("fecha", -120).alias("fecha")).agg(
+        F.countDistinct("archivo").alias("archivos"), F.countDistinct("paquete").alias("paquetes")
+    )
+
+
 @query
 def lectura_cruda(t: Tables) -> DataFrame:
     rows, _ = raw.read_role(t.spark, "productos", t.landing)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from gondola.config import DEFAULTS, Thresholds
 from gondola.functions.text import strip, unit_clean
 from gondola.functions.units import unit_ignored, unit_known
-from gondola.operators.common import pct
+from gondola.operators.common import broadcast_within, null_safe_join, pct
 from gondola.operators.quantiles import exact_median, exact_quantiles, value_counts
 from gondola.sources.shared import materialize
 
@@ -34,15 +34,14 @@ def _branches() -> Column:
 
 
 def volume_by_day(clean: DataFrame) -> DataFrame:
+    days = _by_branch(clean, "fecha").groupBy("fecha").agg(
+        F.sum("filas").alias("filas"),
+        F.countDistinct("cadena").alias("cadenas"),
+        _branches(),
+        F.countDistinct("provincia").alias("provincias"),
+    )
     return (
-        _by_branch(clean, "fecha").groupBy("fecha")
-        .agg(
-            F.sum("filas").alias("filas"),
-            F.countDistinct("cadena").alias("cadenas"),
-            _branches(),
-            F.countDistinct("provincia").alias("provincias"),
-        )
-        .join(_distinct_eans(clean, "fecha"), "fecha")
+        null_safe_join(days, _distinct_eans(clean, "fecha"), ["fecha"])
         .select("fecha", "filas", "eans", "cadenas", "sucursales", "provincias")
         .orderBy("fecha")
     )
@@ -54,15 +53,14 @@ def concentration(clean: DataFrame) -> DataFrame:
     number alone, which merchants reuse."""
     by_size = W.orderBy(F.desc("filas"), "cadena").rowsBetween(W.unboundedPreceding, 0)
     total = F.sum("filas").over(W.partitionBy())
+    chains = _by_branch(clean, "cadena").groupBy("cadena").agg(
+        F.sum("filas").alias("filas"),
+        _branches(),
+        F.countDistinct("id_sucursal").alias("ids_sucursal"),
+        F.countDistinct("provincia").alias("provincias"),
+    )
     return (
-        _by_branch(clean, "cadena").groupBy("cadena")
-        .agg(
-            F.sum("filas").alias("filas"),
-            _branches(),
-            F.countDistinct("id_sucursal").alias("ids_sucursal"),
-            F.countDistinct("provincia").alias("provincias"),
-        )
-        .join(_distinct_eans(clean, "cadena"), "cadena")
+        null_safe_join(chains, _distinct_eans(clean, "cadena"), ["cadena"])
         .withColumn("pct", F.round(pct(F.col("filas"), total), 1))
         .withColumn("pct_acumulado", F.sum("pct").over(by_size))
         .orderBy(F.desc("filas"), "cadena")
@@ -120,7 +118,7 @@ def ean_examples(df: DataFrame, low: int = 3, high: int = 6, n: int = 5) -> Data
     picked before any text is gathered."""
     picked = _texts_per_ean(df).where(F.col("n_desc").between(low, high)).orderBy("ean").limit(n)
     return (
-        df.join(F.broadcast(picked.select("ean")), "ean", "left_semi")
+        df.join(broadcast_within(picked.select("ean"), n), "ean", "left_semi")
         .select("ean", "descripcion").distinct()
         .groupBy("ean")
         .agg(F.array_join(F.sort_array(F.collect_set("descripcion")), "  |  ").alias("textos"))
@@ -196,7 +194,7 @@ def coverage(labelled: DataFrame) -> DataFrame:
     priced = counted.where(F.col("precio_unitario").isNotNull())
     medians = exact_quantiles(priced, keys, "precio_unitario", {"precio_unitario_mediano": 0.5})
     return (
-        sizes.join(eans, keys).join(medians.drop("n"), keys, "left")
+        null_safe_join(null_safe_join(sizes, eans, keys), medians.drop("n"), keys, "left")
         .select(*keys, "filas", "eans", "precio_unitario_mediano", "pct_unidad_ok")
         .orderBy(F.desc("filas"), "item")
     )
@@ -238,12 +236,13 @@ def price_jumps(clean: DataFrame, cfg: Thresholds = DEFAULTS, n: int = 20) -> Da
     )
     # Only the listed products need a text.
     keys = ["fecha", "cadena", "ean"]
+    listed = broadcast_within(top.select(*keys), n)
     texts = (
-        clean.join(F.broadcast(top.select(*keys)), keys, "left_semi")
+        null_safe_join(clean, listed, keys, "left_semi")
         .groupBy(*keys).agg(F.min("descripcion").alias("descripcion"))
     )
     return (
-        top.join(texts, keys, "left")
+        null_safe_join(top, texts, keys, "left")
         .select(
             "fecha", "cadena", "ean", F.substring("descripcion", 1, 45).alias("producto"),
             F.round("previo", 0).alias("antes"), F.round("precio", 0).alias("despues"), "var_pct",

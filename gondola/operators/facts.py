@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from gondola.config import DEFAULTS, Thresholds
+from gondola.operators.common import null_safe_join
 from gondola.operators.quantiles import BUFFER_VALUES, exact_quantiles, largest_group
 from gondola.sources.shared import materialize
 
@@ -19,12 +20,11 @@ def fact_precio_item(
     The groups are sized first (an action). If none can overfill a median's buffer, one
     aggregation does the rest. Otherwise the rows are counted per (grain, EAN, unit price)
     into a written table, which spreads a large group over many tasks, and the medians come
-    from there. Rows without a unit price are not comparable and take no part.
+    from there. Rows without a unit price are not comparable and take no part; a null in the grain is a group
+    like any other.
     """
     keys = list(PRICE_GRAIN)
-    rows = precios.select(*keys, "ean", "precio_unitario").dropna(
-        subset=[*keys, "precio_unitario"]
-    )
+    rows = precios.select(*keys, "ean", "precio_unitario").dropna(subset=["precio_unitario"])
     if largest_group(rows, keys) <= buffer_values:
         return (
             rows.groupBy(*keys)
@@ -44,8 +44,7 @@ def fact_precio_item(
         counted, keys, "precio_unitario", {"precio_mediano": 0.5}, buffer_values
     )
     return (
-        medians.where(F.col("n") >= cfg.fact_rows_min)
-        .join(eans, keys)
+        null_safe_join(medians.where(F.col("n") >= cfg.fact_rows_min), eans, keys)
         .select(*keys, "precio_mediano", F.col("n").alias("n_observaciones"), "n_eans")
     )
 

@@ -24,6 +24,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from gondola.operators.common import null_safe_join
 from gondola.sources.shared import materialize
 
 BUFFER_VALUES = 100_000
@@ -31,11 +32,11 @@ CELLS_PER_UNIT = 1 << 14
 
 
 def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Rows per (keys, value) as a written table: keys, value, filas. Rows with a null key or
-    value do not take part."""
+    """Rows per (keys, value) as a written table: keys, value, filas. Rows with a null value do not
+    take part; a null key is a key."""
     counts = (
         df.select(*keys, value)
-        .dropna(subset=[*keys, value])
+        .dropna(subset=[value])
         .groupBy(*keys, value)
         .agg(F.count(F.lit(1)).alias("filas"))
     )
@@ -103,7 +104,7 @@ def _quantiles_by_cells(
 
     in_cell = W.partitionBy(*keys, "_cell").orderBy("_v").rowsBetween(W.unboundedPreceding, 0)
     ranked = (
-        values.join(cells, [*keys, "_cell"])
+        null_safe_join(values, cells, [*keys, "_cell"])
         .withColumn("_to", F.col("_before") + F.sum("_c").over(in_cell))
         .withColumn("_from", F.col("_to") - F.col("_c"))
     )
@@ -142,7 +143,7 @@ def exact_median(
     none can overfill the buffer, that leaves one aggregation; otherwise the values are counted
     and `exact_quantiles` goes on from there.
     """
-    present = df.select(*keys, value).dropna(subset=[*keys, value])
+    present = df.select(*keys, value).dropna(subset=[value])
     largest = largest_group(present, keys) if sizes is None else sizes.agg(F.max("n")).first()[0]
     if (largest or 0) <= buffer_values:
         return present.groupBy(*keys).agg(

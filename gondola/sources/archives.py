@@ -1,24 +1,16 @@
 """Nested ZIP landing: a daily archive holds one archive per chain, which holds CSV files.
 
-Unpacking runs in two steps of `mapInPandas` with a shuffle between them, so that the inner
-archives of a day are spread over the cluster. Text travels in chunks of whole lines and is
-written by Spark as `fecha=…/paquete=…/rol=…/pieza=…/` folders, which `landing.discover` understands.
+Packed files are read by the data source of `zips`, each by a task of its own. Text travels in
+chunks of whole lines and is written by Spark as `fecha=…/paquete=…/rol=…/pieza=…/` folders, which `landing.discover` understands.
 """
 
 from __future__ import annotations
 
-import io
-import struct
-import sys
 import uuid
-import zipfile
-import zlib
-from collections.abc import Iterator
 
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from gondola.sources import zips
 from gondola.sources.landing import role_of
 from gondola.sources.shared import materialize
 
@@ -27,97 +19,18 @@ PIECE_CHUNKS = 64
 # Fixed pattern: a date in the name of a packed file or folder.
 DATE = r"(20\d{2})[-_/](\d{2})[-_/](\d{2})"
 
-_INNER = "archivo string, paquete string, contenido binary, motivo string"
-_LINES = (
-    "archivo string, paquete string, nombre string, parte long, texto string, motivo string"
-)
-_COLUMNS = ["archivo", "paquete", "nombre", "parte", "texto", "motivo"]
-_INNER_COLUMNS = ["archivo", "paquete", "contenido", "motivo"]
-# What reading a member can raise: structure, checksum, stream, encryption, unknown method.
-_UNREADABLE = (zipfile.BadZipFile, zlib.error, EOFError, OSError, RuntimeError, NotImplementedError, struct.error)
-
-
-def _outer_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One row per inner archive, and one with the reason if any part cannot be read."""
-
-    def row(*values):
-        return pd.DataFrame([values], columns=["archivo", "paquete", "contenido", "motivo"])
-
-    for batch in batches:
-        for path, content in zip(batch["path"], batch["content"]):
-            try:
-                outer = zipfile.ZipFile(io.BytesIO(content))
-                for name in outer.namelist():
-                    if name.lower().endswith((".zip", ".csv")):
-                        yield row(path, name, outer.read(name), None)
-            except _UNREADABLE as error:
-                yield row(path, None, None, f"corrupt archive: {error}")
-
-
-def _chunks(stream) -> Iterator[str]:
-    """Text of a file in pieces that end at a line end."""
-    rest = b""
-    while chunk := stream.read(CHUNK_BYTES):
-        chunk = rest + chunk
-        cut = chunk.rfind(b"\n") + 1
-        rest = chunk[cut:]
-        if cut:
-            yield chunk[:cut].decode("utf-8", errors="replace").rstrip("\r\n")
-    if rest:
-        yield rest.decode("utf-8", errors="replace")
-
-
-def _file_rows(archive: str, package: str, name: str, stream) -> Iterator[pd.DataFrame]:
-    """The chunks of one file. Every PIECE_CHUNKS of them form a piece that is written as a
-    file of its own, so each piece starts with the header line."""
-    header = ""
-    for part, text in enumerate(_chunks(stream)):
-        if part == 0:
-            header = text.split("\n", 1)[0]
-        elif part % PIECE_CHUNKS == 0:
-            text = header + "\n" + text
-        yield pd.DataFrame([(archive, package, name, part, text, None)], columns=_COLUMNS)
-
-
-def _inner_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The chunks of all packed files; failures as rows with a reason, passed on or new."""
-
-    def failed(archive, package, reason):
-        return pd.DataFrame([(archive, package, None, None, None, reason)], columns=_COLUMNS)
-
-    for batch in batches:
-        for archive, package, content, reason in batch[_INNER_COLUMNS].itertuples(index=False):
-            if reason is not None:
-                yield failed(archive, package, reason)
-                continue
-            if package.lower().endswith(".csv"):
-                yield from _file_rows(archive, "", package, io.BytesIO(content))
-                continue
-            try:
-                inner = zipfile.ZipFile(io.BytesIO(content))
-                for name in inner.namelist():
-                    if name.lower().endswith(".csv"):
-                        with inner.open(name) as stream:
-                            yield from _file_rows(archive, package, name, stream)
-            except _UNREADABLE as error:
-                yield failed(archive, package, f"corrupt inner archive: {error}")
-
 
 def expand_archives(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     """(files, rejects) of the daily archives below `root`: files has archivo, paquete, nombre,
     parte, texto; rejects has archivo, paquete, nombre, motivo (an action).
 
-    Everything is unpacked once, into one stored table. A checksum is known only at the end of
-    a member, when parts of it have gone out already; so whatever belongs to an archive or
-    package that failed anywhere is taken out afterwards. Archives must be below 2 GB, Spark's
-    limit for a binary file; a larger one ends the job with an error."""
+    Every packed file is a task of its own, which streams it from its range of the archive into
+    one stored table. A checksum is known only at the end of a member, when parts of it have
+    gone out already; so whatever belongs to an archive or package that failed anywhere is
+    taken out afterwards."""
+    spark.dataSource.register(zips.ZipSource)
     unpacked = materialize(
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.zip").load(root)
-        .select("path", "content")
-        .mapInPandas(_outer_members, _INNER)
-        .repartition("archivo", "paquete")
-        .mapInPandas(_inner_lines, _LINES),
+        spark.read.format("packed_csv").options(chunkbytes=CHUNK_BYTES, piecechunks=PIECE_CHUNKS).load(root),
         "unpacked",
     )
     bad = F.col("motivo").isNotNull()
@@ -211,7 +124,3 @@ def unpack(spark: SparkSession, root: str, out: str) -> DataFrame:
     laid.write.partitionBy("fecha", "paquete", "rol", "pieza").format("text").save(staged)
     _replace_days(spark, staged, out)
     return rejects
-
-
-# The functions that run in tasks travel with the plan; workers need not have this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])

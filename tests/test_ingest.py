@@ -169,3 +169,80 @@ def test_failing_checksums_reject_the_whole(spark, tmp_path):
     assert {(r["archivo"].rsplit("/")[-1], r["paquete"], r["motivo"].split(":")[0]) for r in rejects} == {
         ("a_2026-07-24.zip", "h.zip", "corrupt inner archive"), ("b_2026-07-25.zip", None, "corrupt archive"),
     }
+
+
+def test_streamed_members_of_every_kind(spark, tmp_path):
+    import zlib
+
+    from gondola.sources import zips
+
+    class Unseekable(io.BytesIO):
+        def seek(self, *a):
+            raise io.UnsupportedOperation
+
+        tell = seek
+
+    def streamed(files, method):
+        out = Unseekable()
+        with zipfile.ZipFile(out, "w", method) as z:
+            for name, content in files.items():
+                with z.open(name, "w", force_zip64=len(content) % 2 == 0) as f:
+                    f.write(content)
+        return out.getvalue()
+
+    files = {"a/": b"", "é.csv": b"x,y\n" * 70_000, "b.csv": b"", "c.csv": b"1\r\n2", "d.txt": b"zz" * 999}
+    stored = io.BytesIO()
+    with zipfile.ZipFile(stored, "w", zipfile.ZIP_STORED) as z:
+        for name, content in files.items():
+            z.writestr(name, content)
+    for data in (_zip(files), streamed(files, zipfile.ZIP_DEFLATED), stored.getvalue()):
+        for step in (1, 7, 1 << 16):
+            if step == 1 and len(data) > 5000:
+                continue
+            pieces = (data[k : k + step] for k in range(0, len(data), step))
+            found = {n: b"".join(p) for n, p in zips.inner_members(zips._Bytes(pieces))}
+            assert found == files
+        for cut in (len(data) // 2, 40):
+            with pytest.raises(zips.UNREADABLE):
+                for _, p in zips.inner_members(zips._Bytes(iter([data[:cut]]))):
+                    list(p)
+    assert zlib.crc32(b"") == 0
+    (tmp_path / "vacio").mkdir()
+    spark.dataSource.register(zips.ZipSource)
+    assert spark.read.format("packed_csv").load(str(tmp_path / "vacio")).count() == 0
+    _write(tmp_path, "uno.zip", _zip({"p_2026-07-24.zip": _day(3), "q.csv": "a\nb"}))
+    rows = spark.read.format("packed_csv").load(f"file:{tmp_path}/uno.zip").collect()
+    assert {(r["paquete"], r["nombre"], r["texto"].count("\n")) for r in rows} == {("p_2026-07-24.zip", "productos.csv", 3), ("", "q.csv", 1)}
+    assert rows[0]["archivo"] == f"file:{tmp_path}/uno.zip"
+
+
+def test_a_large_member_is_not_held(tmp_path):
+    import tracemalloc
+
+    from gondola.sources import zips
+
+    line = b"1|10|7791234567890|TEXTO LARGO DE UN PRODUCTO|1234,50\n"
+    inner, outer = io.BytesIO(), io.BytesIO()
+    with zipfile.ZipFile(inner, "w", zipfile.ZIP_DEFLATED) as z, z.open("productos.csv", "w") as f:
+        for _ in range(60):
+            f.write(line * 20_000)  # 66 MB in all
+    with zipfile.ZipFile(outer, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("grande.zip", inner.getvalue())
+    _write(tmp_path, "x.zip", outer.getvalue())
+    reader = zips.ZipReader({"path": str(tmp_path)})
+    (member,) = reader.partitions()
+    tracemalloc.start()
+    lines = sum(r[4].count("\n") + 1 for r in reader.read(member))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert lines == 60 * 20_000 and peak < 12 << 20
+
+
+def test_packed_days_come_back(spark, tmp_path):
+    from gondola.sources import zips
+
+    rows = [(f"2026-07-{20 + k % 3}", str(k % 4), "productos.csv", k, CORE if k < 12 else f"1|1|{k}|T|{k}") for k in range(600)]
+    files = spark.createDataFrame(rows, "dia string, paquete string, nombre string, orden int, linea string").repartition(5)
+    zips.write_days(files, str(tmp_path / "zips"))
+    assert archives.unpack(spark, str(tmp_path / "zips"), str(tmp_path / "out")).count() == 0
+    assert _codes(spark, str(tmp_path / "out")) == list(range(12, 600))
