@@ -400,8 +400,10 @@ def resumen_calidad(t: Tables) -> DataFrame:
 
 @query
 def archivos_descubiertos(t: Tables) -> DataFrame:
+    """Merchants with files, per day and role."""
+    merchant = F.regexp_extract("path", "/paquete=([^/]+)/", 1)
     return landing.discover(t.spark, t.landing).groupBy("fecha", "rol").agg(
-        (F.count(F.lit(1)) > 0).alias("hay")
+        F.countDistinct(merchant).alias("comercios")
     )
 
 
@@ -752,7 +754,10 @@ def casos_discrepantes(t: Tables) -> DataFrame:
 
 @query
 def muestra_filas(t: Tables) -> DataFrame:
-    """The size of an exact random sample (its rows are random by design)."""
-    return sampling.sample_rows(t.clean.select("ean", "precio"), 1000).agg(
-        F.count(F.lit(1)).alias("filas")
-    )
+    """The rows of an exact sample of 1,000, drawn by hash."""
+    return sampling.sample_rows(t.clean.select("fecha", "id_comercio", "id_sucursal", "ean"), 1000)
+
+
+@query
+def muestra_discrepantes(t: Tables) -> DataFrame:
+    return sampling.discrepant_cases(t.clean)

@@ -136,3 +136,10 @@ def test_exact_sample(spark):
     ids = [r[0] for r in drawn.collect()]
     assert len(ids) == len(set(ids)) == 500 and min(ids) < 2000 and max(ids) > 18_000
     assert sampling.sample_rows(df, 50_000).count() == 20_000
+
+
+def test_samples_agree_however_rows_are_dealt(spark):
+    df = spark.createDataFrame([(k % 50, None if k % 7 == 0 else str(k)) for k in range(900)], "`a.b` int, c string")
+    rows = [sorted(map(str, sampling.sample_rows(df.repartition(n), 40, keys=["c"]).collect())) for n in (1, 9)]
+    assert rows[0] == rows[1] and len(rows[0]) == 40
+    assert rows[0] != sorted(map(str, sampling.sample_rows(df, 40, seed=1, keys=["c"]).collect()))
