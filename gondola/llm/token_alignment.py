@@ -12,8 +12,8 @@ next white space. Texts are cut there, and each distinct segment is tokenized an
 per task, as long as a bounded memory of segments holds it.
 
 Links are counted over the corpus by pair of ids. A block of documents is stored with its
-distinct segments and pairs, and the counts come back to it by pair: what is shuffled are the
-distinct pairs of each block, not every link.
+distinct segments and pairs, and the counts come back to it by pair, are added up by segment and
+then by document: what is shuffled are the distinct pairs of each block, not every link.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -31,11 +31,9 @@ from gondola.sources.shared import materialize
 
 BYTE_TOKENIZER = "byte_bpe_50k.json"
 PIECE_TOKENIZER = "piece_bpe_32k.model"
-# Text of a block, and of each of the two generations of segments that a task remembers.
+# Text of a block, and what a task remembers; segments are forgotten together when they need more.
 BLOCK_BYTES = 4 << 20
-MEMORY_BYTES = 40 << 20
-# Longer segments are not remembered.
-LONG_SEGMENT = 64
+MEMORY_BYTES = 160 << 20
 
 _SEGMENT = re.compile(r"[ \n]*[^ \n\0]+|[ \n]+")
 _MARKS = r"[!-/:-@\[-^`{-~]"
@@ -47,8 +45,8 @@ _MARK = "▁"
 
 BLOCK_SCHEMA = (
     "block long, doc_ids array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, "
-    "n_links array<long>, digests array<string>, held array<int>, pair binary, times binary, "
-    "pairs array<long>, n array<long>"
+    "n_links array<long>, digests array<string>, held array<int>, segment binary, size binary, "
+    "pair binary, pairs array<long>, n array<long>"
 )
 SCHEMA = (
     "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, "
@@ -64,6 +62,62 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
+class _Table:
+    """Byte strings side by side, gathered by their numbers."""
+
+    def __init__(self, strings: list[bytes]):
+        self.data = np.frombuffer(b"".join(strings), np.uint8)
+        self.length = np.array([len(x) for x in strings], np.int64)
+        self.start = np.cumsum(self.length) - self.length
+
+    def gather(self, numbers: np.ndarray) -> np.ndarray:
+        return self.data[_spans(self.start[numbers], self.length[numbers])]
+
+
+class Aligned:
+    """Aligned segments by number: groups as text, each after a `;` (None where a tokenizer
+    changes the segment), counts of A's tokens, B's tokens, groups and links, and the links."""
+
+    def __init__(self):
+        self.texts: list[bytes | None] = []
+        self.counts = np.zeros((1 << 12, 4), np.int32)
+        self.first = np.zeros(1 << 12, np.int64)
+        self.links = np.empty(1 << 14, np.int64)
+        self.used = 0
+
+    def room(self, segments: int) -> None:
+        self.texts += [None] * (segments - len(self.texts))
+        self.counts, self.first = _room(self.counts, segments), _room(self.first, segments)
+
+    def add(self, numbers: np.ndarray, texts: list[bytes], counts: np.ndarray, links: np.ndarray) -> None:
+        """Segments one after another with their links; those numbered -1 are left out."""
+        self.links = _room(self.links, self.used + len(links))
+        self.links[self.used : self.used + len(links)] = links
+        known = numbers >= 0
+        first = self.used + np.cumsum(counts[:, 3]) - counts[:, 3]
+        self.counts[numbers[known]], self.first[numbers[known]] = counts[known], first[known]
+        self.used += len(links)
+        for k, x in zip(numbers.tolist(), texts):
+            if k >= 0:
+                self.texts[k] = x
+
+    def links_of(self, numbers: np.ndarray) -> np.ndarray:
+        return self.links[_spans(self.first[numbers], self.counts[numbers, 3].astype(np.int64))]
+
+    def row(self, k: int) -> tuple | None:
+        if self.texts[k] is None:
+            return None
+        return self.texts[k], *self.counts[k].tolist(), self.links_of(np.array([k])).tobytes()
+
+
+def _room(x: np.ndarray, size: int) -> np.ndarray:
+    if size <= len(x):
+        return x
+    more = np.zeros((max(size, 3 * len(x) // 2), *x.shape[1:]), x.dtype)
+    more[: len(x)] = x
+    return more
+
+
 class Aligner:
     def __init__(self, byte_path: str, piece_path: str):
         import sentencepiece
@@ -75,14 +129,14 @@ class Aligner:
         letters = byte_letters()
         added = {t.content for t in self.a.get_added_tokens_decoder().values()}
         vocab = self.a.get_vocab(with_added_tokens=True)
-        self.a_bytes = [b""] * (max(vocab.values()) + 1)
+        a_bytes = [b""] * (max(vocab.values()) + 1)
         for token, i in vocab.items():
-            self.a_bytes[i] = token.encode() if token in added else bytes(letters[c] for c in token)
+            a_bytes[i] = token.encode() if token in added else bytes(letters[c] for c in token)
         self.b = sentencepiece.SentencePieceProcessor(model_file=piece_path)
         n = self.b.get_piece_size()
         pieces = [self.b.id_to_piece(i) for i in range(n)]
         self.b_single = np.array([self.b.is_byte(i) for i in range(n)])
-        self.b_bytes = [
+        b_bytes = [
             bytes([int(p[3:-1], 16)]) if single else p.replace(_MARK, " ").encode()
             for p, single in zip(pieces, self.b_single)
         ]
@@ -91,9 +145,11 @@ class Aligner:
         self.cuts = not any(re.search(f"[^{_MARK}]{_MARK}|\n", p) for p in normal)
         self.stops = not any(re.search(rf"[A-Za-z]{_MARKS}", p) for p in normal)
         self.space = self.b.piece_to_id(_MARK)
-        self.a_length = np.array([len(x) for x in self.a_bytes], np.int64)
-        self.b_length = np.array([len(x) for x in self.b_bytes], np.int64)
-        self.texts = [f"{c}{i}" for c, x in (*zip(";,", [self.a_bytes] * 2), *zip("|,", [self.b_bytes] * 2)) for i in range(len(x))]
+        self.a_bytes, self.b_bytes = _Table(a_bytes), _Table(b_bytes)
+        # The first token of A in a group follows a `;`, the first of B a `|`, all others a comma.
+        self.written = _Table([
+            f"{c}{i}".encode() for c, x in (*zip(";,", [a_bytes] * 2), *zip("|,", [b_bytes] * 2)) for i in range(len(x))
+        ])
 
     def segments(self, text: str) -> list[str]:
         """The text behind a space, in segments that both tokenizers take on their own."""
@@ -118,168 +174,162 @@ class Aligner:
             pieces = self.b.encode(text if skip else text[1:], return_type="proto").pieces[skip:]
             b_ids = [p.id for p in pieces]
             coarse_b = np.array([p.end for p in pieces], np.int64) + (1 - skip)
-        a_ids = coded.ids
-        whole = b"".join([self.a_bytes[i] for i in a_ids]), b"".join([self.b_bytes[i] for i in b_ids])
-        if whole != (data, data):
+        a, b = np.array(coded.ids, np.int64), np.array(b_ids, np.int64)
+        raw = np.frombuffer(data, np.uint8)
+        if not (np.array_equal(self.a_bytes.gather(a), raw) and np.array_equal(self.b_bytes.gather(b), raw)):
             return None
-        a, b = np.array(a_ids, np.int64), np.array(b_ids, np.int64)
-        spans = coded.offsets
-        upto = np.array([j for _, j in spans], np.int64)
+        spans = np.fromiter(chain.from_iterable(coded.offsets), np.int64, 2 * len(a)).reshape(-1, 2)
+        first, upto = spans[:, 0], spans[:, 1]
         if len(data) != len(text):
-            starts = np.flatnonzero(np.frombuffer(data, np.uint8) & 0xC0 != 0x80)
-            starts = np.append(starts, len(data))
-            first = np.array([i for i, _ in spans], np.int64)
+            starts = np.append(np.flatnonzero(raw & 0xC0 != 0x80), len(data))
             shared = np.append(first[1:] < upto[:-1], False)
-            a_ends = np.where(shared, np.cumsum(self.a_length[a]), starts[upto])
+            a_ends = np.where(shared, np.cumsum(self.a_bytes.length[a]), starts[upto])
         else:  # no character of one byte is shared
             a_ends = upto
         single = self.b_single[b]
-        b_ends = np.where(single, np.cumsum(self.b_length[b]), coarse_b) if single.any() else coarse_b
+        b_ends = np.where(single, np.cumsum(self.b_bytes.length[b]), coarse_b) if single.any() else coarse_b
         return a, a_ends, b, b_ends
 
     def align(self, segments: list[str]) -> list[tuple | None]:
-        """Of each segment (groups as text, each after a `;`, tokens of A, of B, groups, its
-        links a << 32 | b as bytes); None where a tokenizer changes it. Segments that end in a
-        character other than white space are put together again, as one text, those of marks
-        behind a letter."""
-        out: list[tuple | None] = [None] * len(segments)
-        joint, marks = [], []
-        for k, s in enumerate(segments):
+        """Of each segment (groups as text, tokens of A, of B, groups, links, the links a << 32 | b
+        as bytes); None where a tokenizer changes it."""
+        found = Aligned()
+        self.align_into(found, segments, 0)
+        return list(map(found.row, range(len(segments))))
+
+    def align_into(self, found: Aligned, segments: list[str], number: int) -> None:
+        """Adds segments under consecutive numbers. Those that end in a character other than
+        white space are put together again, as one text, those of marks behind a letter."""
+        found.room(number + len(segments))
+        text, numbers, marks = [], [], []
+        for k, s in enumerate(segments, number):
             if s[-1].isspace():
-                out[k] = self._aligned([s])[0]
+                self._align(found, [s], [k])
+            elif s[0] in " \n":
+                text.append(s)
+                numbers.append(k)
             else:
-                (joint if s[0] in " \n" else marks).append(k)
-        text = [segments[k] for k in joint]
-        for k in marks:
-            text += " a", segments[k]
-        found = self._aligned(text) if text else []
-        for k, x in zip(joint + marks, found[: len(joint)] + found[len(joint) + 1 :: 2]):
-            out[k] = x
-        return out
-
-    def _aligned(self, segments: list[str]) -> list[tuple | None]:
-        found = self.ends("".join(segments))
-        if found is None:  # one of them or more
+                marks += (" a", -1), (s, k)
+        if marks:
+            more, at = zip(*marks)
+            text += more
+            numbers += at
+        if text:
+            self._align(found, text, numbers)
+
+    def _align(self, found: Aligned, segments: list[str], numbers: list[int]) -> None:
+        tokens = self.ends("".join(segments))
+        if tokens is None:  # one of them or more
             half = len(segments) // 2
             half += segments[half][0] not in " \n"  # marks stay behind their letter
-            if len(segments) == 1 or half == len(segments):
-                return [None] * len(segments)
-            return self._aligned(segments[:half]) + self._aligned(segments[half:])
-        a, a_ends, b, b_ends = found
+            if len(segments) > 1 and half < len(segments):
+                self._align(found, segments[:half], numbers[:half])
+                self._align(found, segments[half:], numbers[half:])
+            return
+        a, a_ends, b, b_ends = tokens
         lengths = [len(s) if s.isascii() else len(s.encode()) for s in segments]
         upto = np.cumsum(lengths)
+        end_a, end_b = np.zeros((2, int(upto[-1]) + 1), np.int32)
+        end_a[a_ends] = end_b[b_ends] = 1
+        # How many tokens of A, and of B, and groups end up to each byte.
+        both, either = end_a & end_b, end_a | end_b
+        upto_a, upto_b, upto_both = np.cumsum(end_a), np.cumsum(end_b), np.cumsum(both)
         # Between two neighbouring ends of either side lies one link.
-        either = np.union1d(a_ends, b_ends)
-        links = a[np.searchsorted(a_ends, either)] << 32 | b[np.searchsorted(b_ends, either)]
-        both = np.intersect1d(a_ends, b_ends, assume_unique=True)
-        # Tokens by group, those of A first; the first of A in a group follows a `;`, the first
-        # of B a `|`, all others a comma.
-        group_a, group_b = np.searchsorted(both, a_ends), np.searchsorted(both, b_ends)
-        n, m = len(self.a_length), len(self.b_length)
-        text_a = a + n * (np.diff(group_a, prepend=-1) == 0)
-        text_b = b + 2 * n + m * (np.diff(group_b, prepend=-1) == 0)
-        order = np.argsort(np.concatenate((2 * group_a, 2 * group_b + 1)), kind="stable")
-        texts = list(map(self.texts.__getitem__, np.concatenate((text_a, text_b))[order].tolist()))
-        cut_a, cut_b, cut_group, cut_link = (
-            np.searchsorted(x, upto, side="right") for x in (a_ends, b_ends, both, either)
-        )
-        data = links.astype("<i8").tobytes()
-        rows, t0, a0, b0, g0, l0 = [], 0, 0, 0, 0, 0
-        for a1, b1, g1, l1 in zip(cut_a.tolist(), cut_b.tolist(), cut_group.tolist(), (8 * cut_link).tolist()):
-            t1 = a1 + b1
-            rows.append(("".join(texts[t0:t1]), a1 - a0, b1 - b0, g1 - g0, data[l0:l1]))
-            t0, a0, b0, g0, l0 = t1, a1, b1, g1, l1
-        return rows
+        at = np.flatnonzero(either)
+        links = a[(upto_a - end_a)[at]] << 32 | b[(upto_b - end_b)[at]]
+        # Tokens by group, those of A first.
+        groups = np.append(0, np.flatnonzero(both))
+        group_a, group_b = (upto_both - both)[a_ends], (upto_both - both)[b_ends]
+        n, m = len(self.a_bytes.length), len(self.b_bytes.length)
+        order = np.empty(len(a) + len(b), np.int64)
+        order[np.arange(len(a)) + upto_b[groups[group_a]]] = a + n * (np.diff(group_a, prepend=-1) == 0)
+        order[np.arange(len(b)) + upto_a[groups[group_b + 1]]] = b + 2 * n + m * (np.diff(group_b, prepend=-1) == 0)
+        written = self.written.gather(order).tobytes()
+        size = np.append(0, np.cumsum(self.written.length[order]))
+        counts = np.diff([x[upto] for x in (upto_a, upto_b, upto_both, np.cumsum(either))], prepend=0).T
+        stops = size[upto_a[upto] + upto_b[upto]].tolist()
+        texts = [written[i:j] for i, j in zip([0, *stops], stops)]
+        found.add(np.array(numbers, np.int64), texts, counts, links)
+
+
+class _Numbers(dict):
+    """Numbers given to keys in the order in which they are first met."""
+
+    def __missing__(self, key):
+        number = self[key] = len(self)
+        return number
 
 
 class _Memory:
-    """Aligned segments, in two generations of bounded size; the older one goes."""
+    """Segments that a task has met, numbered and aligned."""
 
     def __init__(self, aligner: Aligner):
         self.aligner = aligner
-        self.young: dict[str, tuple | None] = {}
-        self.old: dict[str, tuple | None] = {}
-        self.held = 0
-
-    def aligned(self, segments: list[str]) -> list[tuple | None]:
-        found = list(map(self.young.get, segments, [0] * len(segments)))
-        new = []
-        for k, x in enumerate(found):
-            if x == 0:
-                found[k] = x = self.old.get(segments[k], 0)
-                if x == 0:
-                    new.append(k)
-                else:
-                    self._keep(segments[k], x)
-        for part in _parts(new, segments):
-            for k, x in zip(part, self.aligner.align([segments[k] for k in part])):
-                found[k] = x
-                if len(segments[k]) <= LONG_SEGMENT:
-                    self._keep(segments[k], x)
-        return found
-
-    def _keep(self, segment, x):
-        if self.held > MEMORY_BYTES:
-            self.young, self.old, self.held = {}, self.young, 0
-        self.young[segment] = x
-        self.held += 400 + (len(x[4]) if x else 0)  # about what Python needs for it
+        self._clear()
 
+    def _clear(self):
+        self.numbers, self.found, self.held = _Numbers(), Aligned(), 0
 
-def _parts(new: list[int], segments: list[str], most: int = 1 << 17):
-    """Runs of places with about so many characters in all."""
-    part, size = [], 0
-    for k in new:
-        part.append(k)
-        size += len(segments[k])
-        if size >= most:
-            yield part
-            part, size = [], 0
-    if part:
-        yield part
+    def numbered(self, texts: Iterator[list[str]]) -> list[list[int]]:
+        """The numbers of the segments of each text. Numbers given before may be forgotten."""
+        if self.held > MEMORY_BYTES:
+            self._clear()
+        known, links, number = len(self.numbers), self.found.used, self.numbers.__getitem__
+        out = [list(map(number, segments)) for segments in texts]
+        new = list(islice(reversed(self.numbers), len(self.numbers) - known))[::-1]
+        for part in _parts(new):
+            self.aligner.align_into(self.found, part, known)
+            known += len(part)
+        # About what Python needs for them.
+        self.held += sum(map(len, new)) + 320 * len(new) + 12 * (self.found.used - links)
+        return out
 
+    def aligned(self, segments: list[str]) -> list[tuple | None]:
+        numbers = self.numbered([segments])[0]
+        return list(map(self.found.row, numbers))
 
-class _Numbers(dict):
-    """Numbers given to keys in the order in which they are first met."""
 
-    def __missing__(self, key):
-        number = self[key] = len(self)
-        return number
+def _parts(segments: list[str], most: int = 1 << 17):
+    """Runs of segments with about so many characters in all."""
+    first, size = 0, 0
+    for k, s in enumerate(segments, 1):
+        size += len(s)
+        if size >= most or k == len(segments):
+            yield segments[first:k]
+            first, size = k, 0
 
 
 _memories: dict[tuple[str, str], _Memory] = {}
 
 
 def _block(number: int, ids: list, texts: list, memory: _Memory) -> pa.RecordBatch:
-    numbers = _Numbers()
     cut = memory.aligner.segments
-    rows = [list(map(numbers.__getitem__, cut(t) if t else ())) for t in texts]
-    found = memory.aligned(list(numbers))
-    bad = {k for k, x in enumerate(found) if x is None}
-    if bad:
-        rows = [[] if bad.intersection(r) else r for r in rows]
-        found = [x or ("", 0, 0, 0, b"") for x in found]
-    names = [x[0] for x in found]
-    digests = [hashlib.sha256("".join(map(names.__getitem__, r)).encode()[1:]).hexdigest() if r else "" for r in rows]
+    rows = memory.numbered(cut(t) if t else () for t in texts)
+    known = memory.found
+    name = known.texts.__getitem__
+    digests = []
+    for k, row in enumerate(rows):
+        try:
+            whole = b"".join(map(name, row))
+        except TypeError:  # a segment that a tokenizer changes
+            rows[k], whole = [], b""
+        digests.append(hashlib.sha256(whole[1:]).hexdigest() if whole else "")
     lengths = np.fromiter(map(len, rows), np.int64, len(rows))
     flat = np.fromiter(chain.from_iterable(rows), np.int64, int(lengths.sum()))
-    del rows, names
-    doc = np.repeat(np.arange(len(lengths)), lengths)
-    measures = np.array([(x[1], x[2], x[3], len(x[4]) // 8) for x in found], np.int64).reshape(-1, 4)
-    sums = np.stack([_sum_by(lengths, measures[flat, k]) for k in range(4)])
-    pairs, which = np.unique(np.frombuffer(b"".join([x[4] for x in found]), "<i8"), return_inverse=True)
-    del found, numbers
-    # Each document's distinct pairs and how often it has them.
-    size = measures[:, 3]
-    first = np.cumsum(size) - size
-    owner = np.repeat(doc, size[flat])
-    keys, times = np.unique(owner * max(len(pairs), 1) + which[_spans(first[flat], size[flat])], return_counts=True)
-    owner, pair = np.divmod(keys, max(len(pairs), 1))
-    n = np.bincount(pair, weights=times, minlength=len(pairs)).astype(np.int64)
+    del rows
+    sums = [_sum_by(lengths, known.counts[flat, k]) for k in range(4)]
+    # The block's distinct segments, numbered anew, and their distinct pairs.
+    times = np.bincount(flat, minlength=len(known.texts))
+    used = np.flatnonzero(times)
+    local = np.cumsum(times > 0) - 1
+    size = known.counts[used, 3].astype(np.int64)
+    pairs, pair = np.unique(known.links_of(used), return_inverse=True)
+    n = np.bincount(pair, weights=np.repeat(times[used], size), minlength=len(pairs)).astype(np.int64)
     lists = lambda x, kind=pa.int64(): pa.array([x], pa.list_(kind))
     columns = [
         pa.array([number], pa.int64()), lists(ids), *map(lists, sums), lists(digests, pa.string()),
-        lists(np.bincount(owner, minlength=len(lengths)).astype(np.int32), pa.int32()),
-        pa.array([_small(pair)], pa.binary()), pa.array([_small(times)], pa.binary()), lists(pairs), lists(n),
+        lists(lengths.astype(np.int32), pa.int32()),
+        *(pa.array([_small(x)], pa.binary()) for x in (local[flat], size, pair)), lists(pairs), lists(n),
     ]
     return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in BLOCK_SCHEMA.split(", ")])
 
@@ -290,6 +340,7 @@ def _small(x: np.ndarray) -> bytes:
 
 
 def _wide(data: pa.Buffer, n: int) -> np.ndarray:
+    """The n numbers of `_small`."""
     return np.frombuffer(data, f"<u{len(data) // n}").astype(np.int64) if n else np.zeros(0, np.int64)
 
 
@@ -340,8 +391,11 @@ def _documents(frames: Iterator[pa.RecordBatch]):
                 total[at] = counted.field("total").to_numpy()
                 best[at] = counted.field("best").to_numpy(zero_copy_only=False)
             held = row["held"].values.to_numpy().astype(np.int64)
-            pair, times = (_wide(row[c].as_buffer(), int(held.sum())) for c in ("pair", "times"))
-            sums = [_sum_by(held, x[pair] * times) for x in (best, total)]
+            segment = _wide(row["segment"].as_buffer(), int(held.sum()))
+            links = _wide(row["size"].as_buffer(), int(segment.max(initial=-1)) + 1)
+            pair = _wide(row["pair"].as_buffer(), int(links.sum()))
+            # Added up by segment, then by document.
+            sums = [_sum_by(held, _sum_by(links, x[pair])[segment]) for x in (best, total)]
             columns = [*(flat[c] for c in plain), *(pa.array(x) for x in sums), flat["digests"]]
             yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in SCHEMA.split(", ")])
 
