@@ -193,6 +193,55 @@ def test_cuts_against_the_definition():
     assert chunk_dedup.cuts(texts) == [naive_cuts(t) for t in texts]
 
 
+def naive_removed(texts):
+    """Bytes deleted of each text: chunks by a dictionary, their runs extended byte by byte."""
+    first, removed = {}, {}
+    coded = [(t or "").encode() for t in texts]
+    for i, data in enumerate(coded):
+        spans, start = {}, 0
+        for end in naive_cuts(data):
+            if first.setdefault(data[start:end], (i, start)) != (i, start):
+                spans[start] = end, first[data[start:end]]
+            start = end
+        stops = {end for end, _ in spans.values()}
+        more = []
+        for start, (end, (j, at)) in spans.items():
+            other = coded[j]
+            if start not in stops:
+                a, b = start, at
+                while a and b and data[a - 1] == other[b - 1]:
+                    a, b = a - 1, b - 1
+                while a < len(data) and data[a] & 0xC0 == 0x80:
+                    a += 1
+                more.append((a, start - a))
+            if end not in spans:
+                a, b = end, at + end - start
+                while a < len(data) and b < len(other) and data[a] == other[b]:
+                    a, b = a + 1, b + 1
+                while a < len(data) and data[a] & 0xC0 == 0x80:
+                    a -= 1
+                more.append((end, a - end))
+        both = sorted([*((s, e - s) for s, (e, _) in spans.items()), *more])
+        removed[i] = sum(b - a for a, b in chunk_dedup.runs(both))
+    return removed
+
+
+def test_short_passages_go_whole(spark):
+    rng = random.Random(51)
+    texts = []
+    for _ in range(60):
+        passage = prose(rng, 51, "abcdefgé日")
+        texts += [prose(rng, rng.randint(1, 30)) + " " + passage + " " + prose(rng, 20), prose(rng, rng.randint(1, 30)) + passage]
+    rows = {r.doc_id: r for r in chunk_dedup.dedup_substrings(docs(spark, texts), window=16).collect()}
+    assert {i: r.n_removed for i, r in rows.items()} == naive_removed(texts)
+    missed = sum(rows[i].n_removed < 51 for i in range(1, len(texts), 2))
+    assert missed <= 1
+    # What two long texts without a cut share, beyond many windows.
+    texts = ["x" + prose(rng, 40) + "a" * 5000, "yz" + prose(rng, 40) + "a" * 5000 + "b"]
+    rows = chunk_dedup.dedup_substrings(docs(spark, texts), window=16).collect()
+    assert {r.doc_id: r.n_removed for r in rows} == naive_removed(texts)
+
+
 def test_substrings(spark):
     rng = random.Random(11)
     passage = prose(rng, 80)
@@ -205,16 +254,7 @@ def test_substrings(spark):
         assert rows[i].text == texts[i] and rows[i].n_removed == 0
     assert rows[1].text.startswith(own[2]) and rows[2].text.endswith(own[3]) and rows[7].text == ""
     assert rows[1].n_removed > 100 and rows[0].spans == 2
-    seen, removed = set(), {}
-    for i, text in enumerate(texts):  # the same by a dictionary
-        data, start = (text or "").encode(), 0
-        spans = []
-        for end in naive_cuts(data):
-            if data[start:end] in seen:
-                spans.append((start, end - start))
-            seen.add(data[start:end])
-            start = end
-        removed[i] = sum(b - a for a, b in chunk_dedup.runs(spans))
+    removed = naive_removed(texts)
     assert removed == {i: r.n_removed for i, r in rows.items()}
     again = chunk_dedup.dedup_substrings(docs(spark, [passage, passage, passage], [1, 1, None])).collect()
     assert sorted((str(r.doc_id), r.text) for r in again) == [("1", ""), ("1", ""), ("None", passage)]
