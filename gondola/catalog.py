@@ -407,6 +407,27 @@ def archivos_descubiertos(t: Tables) -> DataFrame:
     )
 
 
+@query
+def archivos_rechazados(t: Tables) -> DataFrame:
+    """Each merchant's file of each day written without its prices, below a folder that is no day,
+    and as a role that is none: how many are rejected, and why."""
+    rows, _ = raw.read_role(t.spark, "productos", t.landing)
+    day = F.col("fecha").cast("string")
+    cases = F.array(*(
+        F.struct(d.alias("fecha"), F.lit(role).alias("rol"))
+        for d, role in ((day, "productos"), (F.lit("sin"), "productos"), (day, "otros"))
+    ))
+    out, parts = new_path(t.spark, "odd-landing"), ["fecha", "rol", "paquete"]
+    files = rows.select("id_comercio", "id_sucursal", F.explode(cases).alias("caso")).select(
+        "id_comercio", "id_sucursal", "caso.*", F.col("id_comercio").alias("paquete")
+    )
+    files.distinct().repartition(*parts).write.partitionBy(*parts).option("header", True).csv(out)
+    _, rejects = raw.read_role(t.spark, "productos", out)
+    return rejects.union(landing.unplaced(t.spark, out)).groupBy(
+        F.substring_index("motivo", ":", 1).alias("motivo")
+    ).agg(F.count(F.lit(1)).alias("archivos"))
+
+
 @query
 def archivos_desempacados(t: Tables) -> DataFrame:
     """The landing area packed by day and merchant, unpacked again and read."""

@@ -15,7 +15,7 @@ from gondola.operators.quality import (
     ExcessiveDiscard, annotate_rules, excessive_discards, kept, quality_metrics,
 )
 from gondola.operators.texts import text_dictionary, unit_dictionary, with_size
-from gondola.sources.landing import discover
+from gondola.sources.landing import discover, unplaced
 from gondola.sources.raw import read_role
 from gondola.sources.shared import intermediate, materialize
 from gondola.sources.tables import pending, upsert_quality, write_clean
@@ -65,7 +65,8 @@ def clean_days(
     days: Sequence[str] | None = None,
 ) -> DataFrame:
     """Clean every day of the landing area that `out/precios` lacks (all when forced; of `days`
-    only, if given), write it and its quality record, and return the rejected files. All days
+    only, if given), write it and its quality record, and return the rejected files, those without
+    a day folder or a known role among them. All days
     go through one plan; each is replaced as a whole, so a repeated run gives the same tables.
 
     Days on which a rule discards too much are not written; after the others are, they are
@@ -93,5 +94,7 @@ def clean_days(
         log.warning(message)
     if excessive and not ignore_guardrail:
         raise ExcessiveDiscard("; ".join(message for _, message in excessive))
-    rejects = [rejected for _, rejected in read.values()]
-    return rejects[0].union(rejects[1]).union(rejects[2])
+    rejects = unplaced(spark, landing)
+    for _, rejected in read.values():
+        rejects = rejects.union(rejected)
+    return rejects

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from gondola.config import DEFAULTS, Thresholds
 from gondola.dims import BASKET, BasketItem, dim_item
 from gondola.operators import facts as f, findings
-from gondola.operators.compare import annotate_comparable, comparable, require_rows
+from gondola.operators.compare import annotate_comparable, comparable, lost_units, range_discards, require_rows
 from gondola.operators.texts import text_dictionary, with_items
 from gondola.sources.shared import materialize
 from gondola.sources.tables import export_json, export_star
@@ -37,12 +37,14 @@ def transform(
     cfg: Thresholds = DEFAULTS,
 ) -> dict[str, DataFrame]:
     """Label, keep the comparable rows, build the star tables and export them as CSV with the
-    findings as JSON. Fails if no row can be compared."""
+    findings as JSON and the rows lost for their unit or price. Fails if no row can be compared."""
     clean = require_rows(clean, "there is no clean data")
     dim = dim_item(spark, tuple(basket))
     labelled = with_items(clean, text_dictionary(clean, basket), basket_only=True)
-    rows = materialize(comparable(annotate_comparable(labelled, dim, cfg)), "comparable")
-    star = build_star(require_rows(rows), dim, cfg)
+    annotated = materialize(annotate_comparable(labelled, dim, cfg), "annotated")
+    lost = {"unidades_perdidas": lost_units(annotated), "descartes_rango": range_discards(annotated)}
+    export_star(lost, f"{out}/comparabilidad")
+    star = build_star(require_rows(comparable(annotated)), dim, cfg)
     export_star(star, out)
     export_json(
         findings.findings(star["fact_dispersion"], star["fact_canasta"]), f"{out}/resumen_hallazgos"

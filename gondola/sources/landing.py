@@ -33,11 +33,13 @@ def role_of(name: Column) -> Column:
     return role
 
 
-def discover(spark: SparkSession, root: str) -> DataFrame:
-    """path, rol, fecha of every CSV below `root/YYYY-MM-DD/`. The role is told by the file
-    name, or by the `rol=` folder of files unpacked by `archives`. No content is read."""
+def listing(spark: SparkSession, root: str) -> DataFrame:
+    """path, rol, fecha of every CSV below `root`, null where a file has no known role or no day
+    folder. The role is told by the file name, or by the `rol=` folder of files unpacked by
+    `archives`. No content is read."""
     path = F.col("path")
-    packed_role = F.regexp_extract(path, "/rol=([a-z]+)/", 1)
+    packed_role = F.regexp_extract(path, "/rol=([^/]+)/", 1)
+    known = packed_role.isin(list(ROLE_MARKS))
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
@@ -45,15 +47,26 @@ def discover(spark: SparkSession, root: str) -> DataFrame:
         .load(root)
         .select(
             "path",
-            F.when(packed_role != "", packed_role)
-            .when(path.endswith(".csv"), role_of(F.substring_index(path, "/", -1)))
+            F.when(known, packed_role)
+            .when((packed_role == "") & path.endswith(".csv"), role_of(F.substring_index(path, "/", -1)))
             .alias("rol"),
             day_of(path, root).alias("fecha"),
         )
-        .where(F.col("rol").isNotNull() & F.col("fecha").isNotNull())
+        .where((packed_role != "") | path.endswith(".csv"))
     )
 
 
+def discover(spark: SparkSession, root: str) -> DataFrame:
+    """path, rol, fecha of every CSV of a known role below `root/YYYY-MM-DD/`."""
+    return listing(spark, root).where(F.col("rol").isNotNull() & F.col("fecha").isNotNull())
+
+
+def unplaced(spark: SparkSession, root: str) -> DataFrame:
+    """path, motivo of the files that `discover` leaves out."""
+    reason = F.when(F.col("fecha").isNull(), "no day folder").when(F.col("rol").isNull(), "unknown role")
+    return listing(spark, root).select("path", reason.alias("motivo")).where(F.col("motivo").isNotNull())
+
+
 def slug(name: str) -> str:
     """Header name to column name: no accents, lower case, other characters to one `_`."""
     plain = unicodedata.normalize("NFKD", name).encode("ascii", "ignore").decode()
@@ -83,19 +96,24 @@ def _peek(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
         for path in batch["path"]:
-            header, first = _first_lines(path)
+            try:
+                header, first = _first_lines(path)
+            except OSError as error:
+                rows.append((None, None, f"unreadable: {error}"))
+                continue
             sep = delimiter_of(header)
             # A delimiter at the end of the data lines only is one more, nameless field.
             extra = first.endswith(sep) and first.count(sep) == header.count(sep) + 1
-            rows.append((sep, header + (sep if extra else "")))
-        yield batch.assign(sep=[r[0] for r in rows], header=[r[1] for r in rows])
+            rows.append((sep, header + (sep if extra else ""), None))
+        yield batch.assign(**{name: [r[k] for r in rows] for k, name in enumerate(("sep", "header", "motivo"))})
 
 
 def detect_dialect(files: DataFrame) -> DataFrame:
-    """Adds `sep` and `header` to a frame of paths. Tasks read the first lines of each file."""
+    """Adds `sep`, `header` and `motivo` to a frame of paths; `motivo` says why a file could not be
+    read, and is null for all others. Tasks read the first lines of each file."""
     columns = ", ".join(f"{name} {kind}" for name, kind in files.dtypes)
     spread = files.repartition(F.col("path"))
-    return spread.mapInPandas(_peek, f"{columns}, sep string, header string")
+    return spread.mapInPandas(_peek, f"{columns}, sep string, header string, motivo string")
 
 
 # The functions that run in tasks travel with the plan; workers need not have this package.

@@ -73,7 +73,8 @@ def read_role(
     spark: SparkSession, role: str, root: str, files: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(rows, rejects) of one role. Rows have fecha, orden, the core columns and all optional
-    ones, null where a file lacks them. A file without a core column is rejected.
+    ones, null where a file lacks them. A file without a core column, and one whose header
+    cannot be read, is rejected, and the others are read.
 
     The dialects, one small record per file, are gathered on the driver, which needs the
     paths anyway to plan the scans; the scan of each dialect stays lazy.
@@ -82,11 +83,14 @@ def read_role(
     wanted = [*core, *optional]
     if files is None:
         files = discover(spark, root)
-    dialects = defaultdict(list)
+    dialects, rejects = defaultdict(list), []
     for file in detect_dialect(files.where(F.col("rol") == role)).collect():
-        dialects[(file["sep"], file["header"])].append(file["path"])
+        if file["motivo"] is None:
+            dialects[(file["sep"], file["header"])].append(file["path"])
+        else:
+            rejects.append((file["path"], file["motivo"]))
 
-    rows, rejects = [], []
+    rows = []
     for (sep, header), paths in sorted(dialects.items()):
         names = _names(header, sep)
         missing = [c for c in core if c not in names]

@@ -51,6 +51,21 @@ def test_discover(spark, lake):
     assert len(found) == 6 and not any("docs" in p or "leame" in p for p, _, _ in found)
 
 
+def test_files_left_out_have_a_reason(spark, lake):
+    found = {(r["path"].split("/raw/")[1], r["motivo"]) for r in landing.unplaced(spark, lake).collect()}
+    assert found == {("docs/productos.csv", "no day folder"), ("2026-07-25/c/leame.csv", "unknown role")}
+
+
+def test_an_unreadable_file_does_not_end_the_job(spark, lake):
+    files = landing.discover(spark, lake)
+    gone = files.where(F.col("path").contains("feed_2")).withColumn("path", F.concat("path", F.lit(".gone.csv")))
+    rows, rejects = raw.read_role(spark, "productos", lake, files.union(gone))
+    reasons = {r["path"].split("/raw/")[1]: r["motivo"] for r in rejects.collect()}
+    assert reasons.pop("2026-07-24/feed_2/Producto_b.csv.gone.csv").startswith("unreadable: ")
+    assert set(reasons) == {"2026-07-25/d/productos.csv"}
+    assert rows.count() == raw.read_role(spark, "productos", lake)[0].count()
+
+
 def test_read_productos(spark, lake):
     rows, rejects = raw.read_role(spark, "productos", lake)
     got = {

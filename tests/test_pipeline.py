@@ -39,6 +39,11 @@ def test_pipeline(spark, sf, tmp_path):
     assert star["fact_dispersion"].count() > 0
     exported = spark.read.option("header", True).csv(f"{out}/star/fact_precio_item")
     assert exported.count() == star["fact_precio_item"].count()
+    labelled = texts.with_items(clean, texts.text_dictionary(clean), basket_only=True)
+    annotated = compare.annotate_comparable(labelled, star["dim_item"], cfg)
+    for name, motivo in (("unidades_perdidas", "unidad"), ("descartes_rango", "rango")):
+        lost = spark.read.schema("item string, grupo string, filas long").option("header", True).csv(f"{out}/star/comparabilidad/{name}")
+        assert (lost.agg(F.sum("filas")).first()[0] or 0) == annotated.where(F.col("motivo") == motivo).count()
     part = next(Path(f"{out}/star/resumen_hallazgos").glob("*.json"))
     record = json.loads(part.read_text())
     assert record["top_dispersion"] and set(record["canasta"]) == {"optima", "tipica", "peor"}
