@@ -6,6 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from gondola import catalog, fixtures
+from gondola.operators import quality
+
+DAY = dt.date(2026, 7, 24)
 
 
 @pytest.fixture(scope="module")
@@ -68,3 +71,12 @@ def test_landing_holds_the_listing_in_its_order(spark, small):
         ]
         rows = wanted.where((F.col("fecha") == day) & (F.col("id_comercio") == merchant)).orderBy("orden")
         assert [t.split("|")[1] for t in texts] == [r.id_sucursal for r in rows.collect()] and texts
+
+
+def test_medians_of_eans_with_an_outlier_only(spark):
+    """In 7791 the dearest is 12 times the cheapest, yet near the median; 7792 has an outlier."""
+    prices = {"7791": [5.0, 30.0, 31.0, 32.0, 60.0], "7792": [5.0, 5.0, 5.0, 6.0, 60.0], "7793": [5.0] * 5}
+    rows = [(DAY, ean, p) for ean, of in prices.items() for p in of]
+    df = spark.createDataFrame(rows, "fecha date, ean string, precio double")
+    assert [(r._ean, r._mediana) for r in quality.wide_medians(df).collect()] == [("7792", 5.0)]
+    assert [(r.ean, r.precio) for r in quality.outlier_prices(df).collect()] == [("7792", 60.0)]
