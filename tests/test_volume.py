@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gondola import catalog, fixtures
-from gondola.operators import quality
+from gondola.operators import diagnostics, quality
 
 DAY = dt.date(2026, 7, 24)
 
@@ -80,3 +80,14 @@ def test_medians_of_eans_with_an_outlier_only(spark):
     df = spark.createDataFrame(rows, "fecha date, ean string, precio double")
     assert [(r._ean, r._mediana) for r in quality.wide_medians(df).collect()] == [("7792", 5.0)]
     assert [(r.ean, r.precio) for r in quality.outlier_prices(df).collect()] == [("7792", 60.0)]
+
+
+def test_raw_cardinality_reads_the_file_once(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    rows = [(k, "1", f"77{k % 3}" if k else None) for k in range(9)]
+    spark.createDataFrame(rows, "orden long, productos_ean string, id_producto string").write.parquet(path)
+    found = diagnostics.raw_cardinality(spark.read.parquet(path), 8)
+    assert _plan(found).count("FileScan parquet") == 1
+    assert [(r.campo, r.distintos, r.ejemplos) for r in found.collect()] == [
+        ("id_producto", 3, ["770", "771", "772"]), ("productos_ean", 1, ["1"]),
+    ]
