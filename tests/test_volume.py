@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gondola import catalog, fixtures
 from gondola.operators import diagnostics, quality
+from gondola.operators.quantiles import exact_median
 
 DAY = dt.date(2026, 7, 24)
 
@@ -91,3 +92,11 @@ def test_raw_cardinality_reads_the_file_once(spark, tmp_path):
     assert [(r.campo, r.distintos, r.ejemplos) for r in found.collect()] == [
         ("id_producto", 3, ["770", "771", "772"]), ("productos_ean", 1, ["1"]),
     ]
+
+
+def test_median_does_not_repeat_the_joins_behind_its_rows(spark):
+    rows = spark.createDataFrame([(k % 2, float(k)) for k in range(9)], "k long, v double")
+    joined = rows.join(spark.createDataFrame([(0, "a"), (1, "b")], "k long, name string"), "k")
+    found = exact_median(joined, ["name"], "v")
+    assert "Join" not in _plan(found)
+    assert sorted(tuple(r) for r in found.collect()) == [("a", 4.0, 5), ("b", 4.0, 4)]
