@@ -100,3 +100,20 @@ def test_median_does_not_repeat_the_joins_behind_its_rows(spark):
     found = exact_median(joined, ["name"], "v")
     assert "Join" not in _plan(found)
     assert sorted(tuple(r) for r in found.collect()) == [("a", 4.0, 5), ("b", 4.0, 4)]
+
+
+def _joins(df):
+    return [line for line in _plan(df).splitlines() if "Join" in line]
+
+
+def test_many_copies_are_marked_once(spark, monkeypatch):
+    """Beyond the bound of what is sent to the rows they are written; null keys are keys."""
+    rows = [(DAY, m, "1", e, 10.0 + k % 7, k) for k in range(60) for m, e in (("A", f"77900000{k % 20:05d}"), (None, "7790000099999"))]
+    df = spark.createDataFrame(rows, "fecha date, id_comercio string, id_sucursal string, ean string, precio double, orden int")
+    few = quality.annotate_rules(df)
+    monkeypatch.setattr(quality, "BROADCAST_ROWS", 0)
+    many = quality.annotate_rules(df)
+    assert len(_joins(few)) == 2 and len(_joins(many)) == 1
+    for found in (few, many):
+        assert sorted(r.orden for r in quality.kept(found).collect()) == [*range(40, 60), 59]
+    assert sorted(r.orden for r in quality.keep_last(df).collect()) == [*range(40, 60), 59]
