@@ -106,6 +106,15 @@ def _joins(df):
     return [line for line in _plan(df).splitlines() if "Join" in line]
 
 
+def test_dedupe_reads_written_listings(spark, small):
+    found = catalog.queries()["dedupe"](spark, small)
+    assert "c_custkey" not in _plan(found) and "l_partkey = " not in _plan(found)
+    keys = ["fecha", "id_comercio", "id_sucursal", "ean"]
+    clean = fixtures.clean_prices(spark, small)
+    wanted = clean.groupBy(*keys).agg(F.max_by("precio", "orden").alias("precio"))
+    assert 0 < found.count() < 40 and found.exceptAll(wanted).isEmpty() and wanted.exceptAll(found).isEmpty()
+
+
 def test_many_copies_are_marked_once(spark, monkeypatch):
     """Beyond the bound of what is sent to the rows they are written; null keys are keys."""
     rows = [(DAY, m, "1", e, 10.0 + k % 7, k) for k in range(60) for m, e in (("A", f"77900000{k % 20:05d}"), (None, "7790000099999"))]
