@@ -106,6 +106,27 @@ def _joins(df):
     return [line for line in _plan(df).splitlines() if "Join" in line]
 
 
+@pytest.fixture
+def listings(monkeypatch):
+    """Counts how often line items are joined to what they are listed with."""
+    made, real = [], fixtures._listing
+    monkeypatch.setattr(fixtures, "_listing", lambda *of: made.append(of) or real(*of))
+    return made
+
+
+def test_landing_joins_line_items_once(spark, small, listings):
+    root = catalog.write_landing(spark, small)
+    assert len(listings) == 1
+    schema = "id_sucursal string, sucursales_provincia string, sucursales_localidad string"
+    names = ["id_comercio", *[c.split()[0] for c in schema.split(", ")]]
+    written = (
+        spark.read.schema(f"id_comercio string, {schema}, fecha date, paquete string, rol string")
+        .options(header=True, sep=";").csv(root).where("rol = 'sucursales'").select("fecha", *names)
+    )
+    wanted = fixtures.raw_sucursales(spark, small).select("fecha", *names)
+    assert written.count() > 0 and sorted(map(tuple, written.collect())) == sorted(map(tuple, wanted.collect()))
+
+
 def test_dedupe_reads_written_listings(spark, small):
     found = catalog.queries()["dedupe"](spark, small)
     assert "c_custkey" not in _plan(found) and "l_partkey = " not in _plan(found)
