@@ -148,6 +148,32 @@ def test_whole_runs_of_short_lines(spark):
     assert {r.doc_id: (r.n_removed, r.text) for r in rows} == naive_runs(list(enumerate(texts)))
 
 
+def test_matches_are_extended_to_whole_runs(spark):
+    """A shared run of long and short lines is one run, from its first line to its last; op9's
+    rule counts words in it. Lines below ten words together meet no window with that minimum."""
+    rng = random.Random(21)
+    run = [prose(rng, n) for n in (2, 3, 12, 1, 2, 2, 60, 3, 1)]
+    own = [prose(rng, 30) for _ in range(4)]
+    texts = ["\n".join([own[0], *run, own[1]]), "\n".join([own[2], own[3], "", *run[:4], " ", *run[4:], "end"])]
+    found = line_winnow.extended(line_winnow.matches(docs(spark, texts))).collect()
+    assert [(r.doc_id, r.first, r.words, r.origin.doc_id, r.origin.first) for r in found] == [
+        (1, 2, [2, 3, 12, 1, 2, 2, 60, 3, 1], 0, 1)
+    ]
+    rows = {r.doc_id: (r.n_removed, r.text) for r in line_winnow.dedup_lines(docs(spark, texts)).collect()}
+    assert rows == naive_lines(list(enumerate(texts))) and rows[1][0] == 6
+    whole = {r.doc_id: r.text for r in line_winnow.dedup_lines(docs(spark, texts), whole_runs=True).collect()}
+    assert whole == {0: texts[0], 1: "\n".join([own[2], own[3], "", " ", "end"])}
+
+
+def test_lines_of_other_windows(spark):
+    rng = random.Random(22)
+    pool = [prose(rng, rng.choice([1, 3, 5, 60])) for _ in range(8)] + ["", " "]
+    texts = ["\n".join(rng.choice(pool) for _ in range(rng.randint(0, 14))) for _ in range(40)]
+    for limits in ({"span": 3, "min_words": 8}, {"span": 4, "min_words": 12}, {"span": 1, "min_words": 1, "long_words": 1000}):
+        rows = line_winnow.dedup_lines(docs(spark, texts), **limits).collect()
+        assert {r.doc_id: (r.n_removed, r.text) for r in rows} == naive_lines(list(enumerate(texts)), **limits)
+
+
 def test_pipeline_deletes_repeats_in_short_lines(spark):
     rng = random.Random(20)
     verse = "\n".join(prose(rng, 3) for _ in range(30))
