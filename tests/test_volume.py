@@ -1,6 +1,7 @@
 """What is moved between tasks: joins, ordered writes and reads that need not grow with copies."""
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from gondola import catalog, fixtures
 from gondola.operators import diagnostics, quality
 from gondola.operators.quantiles import exact_median
 from gondola.plans import clean as clean_plan
+from gondola.sources import shared
 
 DAY = dt.date(2026, 7, 24)
 
@@ -169,3 +171,42 @@ def test_many_copies_are_marked_once(spark, monkeypatch):
     for found in (few, many):
         assert sorted(r.orden for r in quality.kept(found).collect()) == [*range(40, 60), 59]
     assert sorted(r.orden for r in quality.keep_last(df).collect()) == [*range(40, 60), 59]
+
+
+def test_rows_that_cannot_meet_a_key_are_not_moved(spark, monkeypatch):
+    """Beyond the bound of what is sent to the rows; null keys are keys, also beside others."""
+    monkeypatch.setattr(quality, "BROADCAST_ROWS", 3)
+    rows = [(DAY if k % 3 else None, f"{k % 400}" if k % 5 else None, float(k)) for k in range(2000)]
+    df = catalog.materialize(spark.createDataFrame(rows, "fecha date, ean string, precio double"), "rows")
+    keys = [(DAY, "7"), (DAY, None), (None, "9"), (None, None), (DAY, "none of them")]
+    found = catalog.materialize(spark.createDataFrame([(*k, 1.0) for k in keys], "_fecha date, _ean string, v double"), "found")
+    joined, few = quality._join_few(df, found, ("fecha", "ean"))
+    assert not few and joined.columns == [*df.columns, *found.columns]
+    wanted = df.join(found, quality._same(df, found, ("fecha", "ean")), "left")
+    assert joined.where("v = 1").count() > 100
+    assert joined.exceptAll(wanted).isEmpty() and wanted.exceptAll(joined).isEmpty()
+    # Of both sides of the union one is moved: the rows whose key's bit is set.
+    assert "Union" in _plan(joined) and _plan(joined).count("NOT coalesce") == 1
+
+
+def _shuffle_files(spark):
+    found = spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+    return {found.apply(k).getName() for k in range(found.size()) if "shuffle" in found.apply(k).getName()}
+
+
+def test_audit_leaves_no_staged_rows_and_no_shuffles(spark, small, monkeypatch):
+    made, real = [], shared.new_path
+    monkeypatch.setattr(shared, "new_path", lambda *of, **named: made.append(real(*of, **named)) or made[-1])
+    before = _shuffle_files(spark)
+    rows = catalog.queries()["reglas_calidad"](spark, small)
+    assert not _shuffle_files(spark) - before and rows.count() == 40
+    assert [p.rsplit("/", 1)[1].split("-")[0] for p in made if Path(p).exists()] == ["audited"]
+    assert spark.conf.get("spark.sql.parquet.compression.codec") == "snappy"
+
+
+def test_cleaned_days_move_rows_without_their_order(spark, small, tmp_path, monkeypatch):
+    stored, real = {}, clean_plan.materialize
+    monkeypatch.setattr(clean_plan, "materialize", lambda df, name, **of: stored.setdefault(name, df) and real(df, name, **of))
+    clean_plan.clean_days(spark, catalog.write_landing(spark, small), str(tmp_path), ignore_guardrail=True)
+    assert "orden" not in stored["audited"].columns
+    assert spark.read.parquet(f"{tmp_path}/calidad").agg(F.sum("filas_crudas")).first()[0] == 40
