@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gondola.sources import zips
 from gondola.sources.landing import role_of
-from gondola.sources.shared import materialize
+from gondola.sources.shared import intermediate, materialize, spare_disk
 
 CHUNK_BYTES = 1 << 20
 PIECE_CHUNKS = 64
@@ -34,7 +34,8 @@ def expand_archives(spark: SparkSession, root: str) -> tuple[DataFrame, DataFram
         "unpacked",
     )
     bad = F.col("motivo").isNotNull()
-    rejects = unpacked.where(bad).select("archivo", "paquete", "nombre", "motivo")
+    # Written, so that their real size decides how the texts meet them.
+    rejects = materialize(unpacked.where(bad).select("archivo", "paquete", "nombre", "motivo"), "unreadable")
     archives = rejects.where(F.col("paquete").isNull()).select("archivo").distinct()
     packages = rejects.where(F.col("paquete").isNotNull()).select("archivo", "paquete").distinct()
     files = (
@@ -85,11 +86,19 @@ def unpack(spark: SparkSession, root: str, out: str) -> DataFrame:
 
     Of several archives with one content date the one whose path comes last is taken, and its
     day replaces the day stored before as a whole. Files keep the archive and their full name
-    apart by a hash, so that names which differ in odd characters only do not meet."""
+    apart by a hash, so that names which differ in odd characters only do not meet. The unpacked
+    texts are removed at the end."""
+    with intermediate(spark), spare_disk(spark):
+        return _unpack(spark, root, out)
+
+
+def _unpack(spark: SparkSession, root: str, out: str) -> DataFrame:
     files, failed = expand_archives(spark, root)
     names = materialize(files.select("archivo", "paquete", "nombre").distinct(), "packed-names")
     dates = materialize(content_date(names), "archive-dates")
-    chosen = dates.where(F.col("fecha").isNotNull()).groupBy("fecha").agg(F.max("archivo").alias("archivo"))
+    chosen = materialize(
+        dates.where(F.col("fecha").isNotNull()).groupBy("fecha").agg(F.max("archivo").alias("archivo")), "chosen-archives"
+    )
     role = role_of(F.substring_index("nombre", "/", -1))
     judged = names.join(dates, "archivo").join(
         chosen.select("archivo", F.lit(True).alias("_chosen")), "archivo", "left"
@@ -102,6 +111,7 @@ def unpack(spark: SparkSession, root: str, out: str) -> DataFrame:
     rejects = materialize(
         failed.union(judged.where(reason.isNotNull()).select("archivo", "paquete", "nombre", reason)),
         "rejected-archives",
+        kept=True,
     )
     label = F.concat_ws("/", "paquete", "nombre")
     laid = (

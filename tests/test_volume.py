@@ -10,7 +10,7 @@ from gondola import catalog, fixtures
 from gondola.operators import diagnostics, quality
 from gondola.operators.quantiles import exact_median
 from gondola.plans import clean as clean_plan
-from gondola.sources import shared
+from gondola.sources import archives, raw, shared, zips
 
 DAY = dt.date(2026, 7, 24)
 
@@ -210,3 +210,36 @@ def test_cleaned_days_move_rows_without_their_order(spark, small, tmp_path, monk
     clean_plan.clean_days(spark, catalog.write_landing(spark, small), str(tmp_path), ignore_guardrail=True)
     assert "orden" not in stored["audited"].columns
     assert spark.read.parquet(f"{tmp_path}/calidad").agg(F.sum("filas_crudas")).first()[0] == 40
+
+
+def test_joined_lines_keep_their_order(spark, tmp_path):
+    """Blocks of a file lie in any order and are not joined with one another; odd lines stay."""
+    lines = ["id_comercio|id_sucursal|id_producto|productos_descripcion|productos_precio_lista"]
+    lines += [f"1|1|{k}|{'T' * (k % 90)}|{k}" if k % 50 else "" for k in range(1, 900)]
+    rows = [("2026-07-24", "p", "productos.csv", n // 300, (n // 300, n), line) for n, line in enumerate(lines)]
+    dealt = rows[600:] + rows[:300] + rows[300:600]
+    schema = "dia string, paquete string, nombre string, bloque int, orden struct<a: int, b: int>, linea string"
+    texts = zips.joined_lines(spark.createDataFrame(dealt, schema).coalesce(1))
+    found = texts.orderBy("orden").collect()
+    assert len(found) == 3 and [r.linea.split("\n") for r in found] == [lines[k : k + 300] for k in (0, 300, 600)]
+    assert [tuple(r.orden) for r in found] == [(0, 0), (1, 300), (2, 600)]
+    zips.write_days(texts, str(tmp_path / "zips"))
+    files, _ = archives.expand_archives(spark, str(tmp_path / "zips"))
+    assert [r.texto.split("\n") for r in files.collect()] == [lines]
+
+
+def test_archives_and_unpacked_texts_leave_no_copies(spark, small, tmp_path, monkeypatch):
+    made, real = [], shared.new_path
+    for module in (shared, catalog):
+        monkeypatch.setattr(module, "new_path", lambda *of, **named: made.append(real(*of, **named)) or made[-1])
+    before = _shuffle_files(spark)
+    with shared.spare_disk(spark):
+        root = catalog.Tables(spark, small).archives
+    assert [p for p in made if Path(p).exists()] == [root] and not _shuffle_files(spark) - before
+    assert archives.unpack(spark, root, str(tmp_path / "out")).count() == 0
+    left = [p.rsplit("/", 1)[1].rsplit("-", 1)[0] for p in made if Path(p).exists()]
+    assert left == ["archives", "rejected-archives"]
+    rows, _ = raw.read_role(spark, "productos", str(tmp_path / "out"))
+    wanted = fixtures.raw_productos(spark, small).select("id_comercio", "id_sucursal", "id_producto", "productos_precio_lista")
+    found = rows.select(*wanted.columns)
+    assert found.count() == 40 and found.exceptAll(wanted).isEmpty() and wanted.exceptAll(found).isEmpty()
