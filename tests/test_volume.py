@@ -201,6 +201,8 @@ def test_audit_leaves_no_staged_rows_and_no_shuffles(spark, small, monkeypatch):
     rows = catalog.queries()["reglas_calidad"](spark, small)
     assert not _shuffle_files(spark) - before and rows.count() == 40
     assert [p.rsplit("/", 1)[1].split("-")[0] for p in made if Path(p).exists()] == ["audited"]
+    # Of the order, what names a row.
+    assert catalog.tables(spark, small).audited.schema["orden"].dataType.names == ["l_orderkey", "l_linenumber"]
     assert spark.conf.get("spark.sql.parquet.compression.codec") == "snappy"
 
 
